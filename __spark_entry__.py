@@ -16,6 +16,7 @@ import oracles
 from tenure.functions import scalars as S
 from tenure.operators import findings
 from tenure.operators.ordered import first_per_key
+from tenure.operators.staging import staged
 from tenure.operators.sequences import overlaps_adjacent, overlaps_running_max
 from tenure.plans import clean, explore, gold, load, metrics, report
 from tenure.schemas import SUBSCRIPTION_COLUMNS
@@ -49,7 +50,7 @@ class Tables:
         return clean.standardise_subscriptions(self.bronze_subscriptions)
 
     @cached_property
-    def cleaned_customers(self) -> clean.CleanCustomers:
+    def cleaned_customers(self) -> clean.Outcome:
         return clean.clean_customers(self.bronze_customers)
 
     @cached_property
@@ -58,11 +59,21 @@ class Tables:
         return self.cleaned_customers.rows
 
     @cached_property
-    def cleaned_subscriptions(self) -> clean.CleanSubscriptions:
+    def cleaned_subscriptions(self) -> clean.Outcome:
         return clean.clean_subscriptions(
             self.bronze_subscriptions, reference=self.customers, excluded=self.cleaned_customers.removed, policy="lenient"
         )
 
+    @cached_property
+    def staged_cleaning(self) -> clean.Outcome:
+        return clean.clean_subscriptions(
+            self.bronze_subscriptions,
+            reference=self.customers,
+            excluded=self.cleaned_customers.removed,
+            policy="lenient",
+            stage=staged,
+        )
+
     @cached_property
     def stated(self) -> DataFrame:
         """Standardised subscriptions with the state of their customer."""
@@ -76,7 +87,7 @@ class Tables:
         return self.standard_subscriptions.join(self.customers.select("customer_id", "signup_date"), "customer_id")
 
     @cached_property
-    def loaded(self) -> load.Loaded:
+    def loaded(self) -> clean.Outcome:
         return load.load_subscriptions(self.standard_subscriptions, self.customers)
 
     @cached_property
@@ -90,6 +101,20 @@ class Tables:
         usable = self.known.where("start_date IS NOT NULL AND monthly_price IS NOT NULL")
         return clean.repair_date_ranges(usable)
 
+    # The same, written once for plans that read their input several times.
+
+    @cached_property
+    def staged_known(self) -> DataFrame:
+        return staged(self.known.select("row_id", "customer_id", "start_date", "end_date", "plan", "monthly_price"), "known")
+
+    @cached_property
+    def staged_valid(self) -> DataFrame:
+        return staged(self.valid, "valid")
+
+    @cached_property
+    def staged_repaired(self) -> DataFrame:
+        return staged(self.repaired.select("row_id", "customer_id", "start_date", "end_date", "plan", "monthly_price"), "repaired")
+
 
 def _prices_as_double(df: DataFrame) -> DataFrame:
     return df.withColumn("monthly_price", F.col("monthly_price").cast("double"))
@@ -101,23 +126,23 @@ def _silver_subscriptions(t: Tables) -> DataFrame:
 
 def _report_warnings(t: Tables) -> DataFrame:
     return findings.union_all(
-        [load.load_customers(t.customers).warnings, t.loaded.warnings, load.overlap_warnings(t.valid)]
+        [load.load_customers(t.customers).warnings, t.loaded.warnings, load.overlap_warnings(t.staged_valid)]
     )
 
 
 def _dq_warnings(t: Tables) -> DataFrame:
     return findings.union_all(
-        [t.cleaned_customers.warnings, t.cleaned_subscriptions.warnings, load.overlap_warnings(t.valid)]
+        [t.cleaned_customers.warnings, t.staged_cleaning.warnings, load.overlap_warnings(t.staged_valid)]
     )
 
 
-def _raw_loaded(t: Tables) -> load.Loaded:
+def _raw_loaded(t: Tables) -> clean.Outcome:
     """Subscriptions loaded straight from bronze, with line numbers in the messages."""
     known = load.load_customers(t.bronze_customers).rows
     return load.load_subscriptions(load.number_lines(t.bronze_subscriptions), known)
 
 
-def _raw_loaded_customers(t: Tables) -> load.Loaded:
+def _raw_loaded_customers(t: Tables) -> clean.Outcome:
     return load.load_customers(load.number_lines(t.bronze_customers))
 
 
@@ -167,10 +192,10 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "start_before_signup": lambda t: explore.start_before_signup(t.known),
     "negative_prices": lambda t: explore.negative_prices(t.known),
     "zero_prices": lambda t: explore.zero_prices(t.known),
-    "overlaps_running_max": lambda t: overlaps_running_max(t.known.where("start_date IS NOT NULL")),
-    "overlaps_adjacent": lambda t: overlaps_adjacent(t.valid),
-    "price_outliers_iqr": lambda t: _prices_as_double(clean.price_outliers(t.known)),
-    "plan_price_spread": lambda t: clean.plan_price_spread(t.known),
+    "overlaps_running_max": lambda t: overlaps_running_max(t.staged_known.where("start_date IS NOT NULL")),
+    "overlaps_adjacent": lambda t: overlaps_adjacent(t.staged_valid),
+    "price_outliers_iqr": lambda t: _prices_as_double(clean.price_outliers(t.staged_known)),
+    "plan_price_spread": lambda t: clean.plan_price_spread(t.staged_known),
     "null_profile": lambda t: explore.null_profile(t.known.drop("row_id")),
     "repair_date_ranges": lambda t: t.repaired.select("row_id", "customer_id", "start_date", "end_date", "repaired"),
     "dq_examples": lambda t: findings.examples(
@@ -192,31 +217,31 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "churn_events": lambda t: metrics.churn_events(t.valid),
     "monthly_churn": lambda t: metrics.monthly_churn(t.valid),
     "cohort_retention": lambda t: metrics.cohort_retention(t.customers, t.valid),
-    "report_summary": lambda t: report.report_summary(t.customers, t.valid, _report_warnings(t)),
+    "report_summary": lambda t: report.report_summary(t.customers, t.staged_valid, _report_warnings(t)),
     # exploration
     "open_subscriptions": lambda t: _prices_as_double(explore.open_subscriptions(t.repaired)),
     "multi_active_customers": lambda t: explore.multi_active_customers(t.repaired, AS_OF),
-    "multi_active_details": lambda t: _prices_as_double(explore.multi_active_details(t.repaired, AS_OF)),
-    "subscription_gaps": lambda t: explore.subscription_gaps(t.repaired),
-    "gaps_exactly_30": lambda t: explore.gaps_exactly(t.repaired, 30),
-    "gap_stats": lambda t: explore.gap_stats(t.repaired),
-    "gap_histogram": lambda t: explore.gap_histogram(t.repaired),
-    "resubscription_shares": lambda t: explore.resubscription_shares(t.repaired),
+    "multi_active_details": lambda t: _prices_as_double(explore.multi_active_details(t.staged_repaired, AS_OF)),
+    "subscription_gaps": lambda t: explore.subscription_gaps(t.staged_repaired),
+    "gaps_exactly_30": lambda t: explore.gaps_exactly(t.staged_repaired, 30),
+    "gap_stats": lambda t: explore.gap_stats(t.staged_repaired),
+    "gap_histogram": lambda t: explore.gap_histogram(t.staged_repaired),
+    "resubscription_shares": lambda t: explore.resubscription_shares(t.staged_repaired),
     "cohort_sizes": lambda t: explore.cohort_sizes(t.customers),
     "tiny_cohorts": lambda t: explore.tiny_cohorts(t.customers),
     "cohort_retention_exploratory": lambda t: explore.cohort_retention_exploratory(t.customers, t.repaired),
     "subscription_duration": lambda t: explore.subscription_duration(t.repaired, AS_OF),
     "duration_stats": lambda t: explore.duration_stats(t.repaired, AS_OF),
-    "duration_histogram": lambda t: explore.duration_histogram(t.repaired, AS_OF),
-    "price_stats": lambda t: explore.price_stats(t.repaired),
-    "plan_price_stats": lambda t: explore.plan_price_stats(t.repaired),
-    "price_histogram": lambda t: explore.price_histogram(t.repaired),
+    "duration_histogram": lambda t: explore.duration_histogram(t.staged_repaired, AS_OF),
+    "price_stats": lambda t: explore.price_stats(t.staged_repaired),
+    "plan_price_stats": lambda t: explore.plan_price_stats(t.staged_repaired),
+    "price_histogram": lambda t: explore.price_histogram(t.staged_repaired),
     "country_counts": lambda t: explore.country_counts(t.bronze_customers),
     "country_variants": lambda t: explore.country_variants(t.bronze_customers),
     # gold
-    "subscription_enriched": lambda t: gold.subscription_enriched(t.customers, t.valid, AS_OF),
-    "monthly_arpu": lambda t: gold.monthly_arpu(t.valid),
-    "monthly_aggregates": lambda t: gold.monthly_aggregates(t.valid),
+    "subscription_enriched": lambda t: gold.subscription_enriched(t.customers, t.staged_valid, AS_OF),
+    "monthly_arpu": lambda t: gold.monthly_arpu(t.staged_valid),
+    "monthly_aggregates": lambda t: gold.monthly_aggregates(t.staged_valid),
 }
 
 

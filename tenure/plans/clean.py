@@ -9,7 +9,8 @@ Three policies for rows that break a fatal rule:
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,28 +19,39 @@ from tenure.config import DEFAULTS, FLAG, LENIENT, STRICT, Settings
 from tenure.errors import DataQualityError
 from tenure.functions import scalars as S
 from tenure.operators import findings as Q
+from tenure.operators.once import RAW, computed_once
 from tenure.operators.ordered import first_per_key
 from tenure.operators.quantiles import exact_quantiles, value_counts
 from tenure.operators.sequences import overlaps_running_max
-from tenure.schemas import CUSTOMER_COLUMNS, SUBSCRIPTION_COLUMNS, require_columns
+from tenure.schemas import SUBSCRIPTION_COLUMNS, require_columns
 
 STAGE_CUSTOMERS = "clean_customers"
 STAGE_SUBSCRIPTIONS = "clean_subscriptions"
 
 
-class CleanCustomers(NamedTuple):
-    rows: DataFrame
-    removed: DataFrame
-    warnings: DataFrame
+class Outcome:
+    """Cleaned rows; the findings are planned only when somebody asks for them."""
 
+    def __init__(self, rows: DataFrame, warnings: Callable[[], DataFrame], removed: DataFrame | None = None):
+        self.rows = rows
+        self.removed = removed
+        self._plan_warnings = warnings
 
-class CleanSubscriptions(NamedTuple):
-    rows: DataFrame
-    warnings: DataFrame
+    @cached_property
+    def warnings(self) -> DataFrame:
+        return self._plan_warnings()
 
 
-def missing_to_null(c: Column, settings: Settings) -> Column:
-    return F.when(c.isin(*settings.na_values), None).otherwise(c) if settings.na_values else c
+def cleaned_text(name: str, settings: Settings) -> Column:
+    """The stripped text, null for the configured missing-value words."""
+    c = S.strip(F.col(RAW + name).cast("string"))
+    words = [w for w in settings.na_values if w != ""]
+    return F.when(c.isin(*words), None).otherwise(c) if words else c
+
+
+def shown_text(name: str, settings: Settings) -> Column:
+    """The same for showing: an empty text is null as well."""
+    return S.blank_to_null(cleaned_text(name, settings))
 
 
 def _check_policy(policy: str) -> None:
@@ -50,8 +62,6 @@ def _check_policy(policy: str) -> None:
 def _gate(table: str, hits: dict[str, int], warnings: DataFrame, settings: Settings) -> None:
     """Raise with every fatal rule that was hit; example rows are fetched only then."""
     hits = {rule: n for rule, n in hits.items() if n}
-    if not hits:
-        return
     shown = Q.examples(warnings.where(F.col("rule_id").isin(*hits)), settings.examples)
     by_rule: dict[str, list[str]] = {}
     for row in shown.orderBy("rule_id", "rank").collect():  # at most `examples` per rule
@@ -68,22 +78,27 @@ def _gate(table: str, hits: dict[str, int], warnings: DataFrame, settings: Setti
 def standardise_customers(bronze: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Strip, upper-case the country, parse the signup date; keeps one output row per input row."""
     require_columns(bronze, ("customer_id", "signup_date"), "customers")
-    signup = missing_to_null(S.strip("signup_date"), settings)
-    country = S.country_code("country") if "country" in bronze.columns else F.lit(None).cast("string")
-    return bronze.select(
-        "row_id",
-        missing_to_null(S.strip("customer_id"), settings).alias("customer_id"),
-        signup.alias("signup_date_raw"),
-        S.parse_date(signup, settings.date_formats).alias("signup_date"),
-        country.alias("country"),
+    has_country = "country" in bronze.columns
+    standard = computed_once(
+        bronze,
+        costly={
+            "customer_id": cleaned_text("customer_id", settings),
+            "signup_date": S.parse_date(F.col(RAW + "signup_date").cast("string"), settings.date_formats),
+        },
+        cheap={
+            "row_id": F.col(RAW + "row_id"),
+            "signup_date_raw": shown_text("signup_date", settings),
+            "country": S.country_code(RAW + "country") if has_country else F.lit(None).cast("string"),
+        },
     )
+    return standard.select("row_id", "customer_id", "signup_date_raw", "signup_date", "country")
 
 
 def customer_rules(settings: Settings = DEFAULTS, has_country: bool = True) -> list[Q.Rule]:
     """Rules on the first row of each customer."""
     raw, parsed = F.col("signup_date_raw"), F.col("signup_date")
     rules = [
-        Q.Rule("empty_customer_id", F.col("customer_id").isNull(), Q.FATAL, F.lit(None), F.lit("customer_id is empty")),
+        Q.Rule("empty_customer_id", S.is_blank("customer_id"), Q.FATAL, F.lit(None), F.lit("customer_id is empty")),
         Q.Rule(
             "empty_signup_date",
             raw.isNull(),
@@ -115,7 +130,7 @@ def customer_rules(settings: Settings = DEFAULTS, has_country: bool = True) -> l
 def duplicate_customers(standard: DataFrame) -> DataFrame:
     """Every row of an id after its first one."""
     firsts = (
-        standard.where("customer_id IS NOT NULL")
+        standard.where(~S.is_blank("customer_id"))
         .groupBy("customer_id")
         .agg(F.min("row_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
@@ -126,37 +141,37 @@ def duplicate_customers(standard: DataFrame) -> DataFrame:
 
 def clean_customers(
     bronze: DataFrame, policy: str = LENIENT, settings: Settings = DEFAULTS
-) -> CleanCustomers:
+) -> Outcome:
     """Silver customers, the removed ids, and the findings. The first row of an id wins."""
     _check_policy(policy)
     standard = standardise_customers(bronze, settings)
     first = first_per_key(standard, "customer_id", "row_id")
-    rules = customer_rules(settings, "country" in bronze.columns)
-    warnings = Q.union_all(
-        [
-            Q.findings(first, STAGE_CUSTOMERS, rules),
-            Q.findings(
-                duplicate_customers(standard),
-                STAGE_CUSTOMERS,
-                [
-                    Q.Rule(
-                        "duplicate_customer_id",
-                        F.lit(True),
-                        Q.DROPPED,
-                        F.col("signup_date_raw"),
-                        F.format_string("customer_id '%s' occurs again - first row kept", F.col("customer_id")),
-                    )
-                ],
-            ),
-        ]
-    )
+
+    def warnings() -> DataFrame:
+        repeated = Q.Rule(
+            "duplicate_customer_id",
+            F.lit(True),
+            Q.DROPPED,
+            F.col("signup_date_raw"),
+            F.format_string("customer_id '%s' occurs again - first row kept", F.col("customer_id")),
+        )
+        # Rows without an id are no copies of each other: each one is reported.
+        named = first.where(~S.is_blank("customer_id")).unionByName(standard.where(S.is_blank("customer_id")))
+        return Q.union_all(
+            [
+                Q.findings(named, STAGE_CUSTOMERS, customer_rules(settings, "country" in bronze.columns)),
+                Q.findings(duplicate_customers(standard), STAGE_CUSTOMERS, [repeated]),
+            ]
+        )
+
     if policy == STRICT:
-        empty = standard.agg(F.count_if(F.col("customer_id").isNull()).alias("n")).first()["n"]
-        _gate("customers", {"empty_customer_id": empty}, warnings, settings)
-    known_id = first.where("customer_id IS NOT NULL")
-    return CleanCustomers(
-        rows=known_id.where("signup_date IS NOT NULL").select("row_id", "customer_id", "signup_date", "country"),
-        removed=known_id.where("signup_date IS NULL").select("customer_id", "signup_date_raw"),
+        empty = standard.agg(F.count_if(S.is_blank("customer_id")).alias("n")).first()["n"]
+        if empty:
+            _gate("customers", {"empty_customer_id": empty}, warnings(), settings)
+    named = first.where(~S.is_blank("customer_id"))
+    return Outcome(
+        rows=named.where("signup_date IS NOT NULL").select("row_id", "customer_id", "signup_date", "country"),
+        removed=named.where("signup_date IS NULL").select("customer_id", "signup_date_raw"),
         warnings=warnings,
     )
 
@@ -167,7 +182,7 @@ def customer_reference(
     """(customer_id, signup_date or null) of a raw or silver customer table, first row per id."""
     typed = dict(customers.dtypes).get("signup_date") == "date"
     signup = (
-        F.col("signup_date") if typed else S.parse_date(S.strip("signup_date"), settings.date_formats)
+        F.col("signup_date") if typed else S.parse_date("signup_date", settings.date_formats)
     )
     ids = customers.select("row_id", S.strip(F.col("customer_id").cast("string")).alias("customer_id"), signup.alias("signup_date"))
     reference = first_per_key(ids, "customer_id", "row_id").select("customer_id", "signup_date")
@@ -181,14 +196,13 @@ def customer_rule_counts(bronze: DataFrame, settings: Settings = DEFAULTS) -> Da
     standard = standardise_customers(bronze, settings)
     rules = customer_rules(settings, "country" in bronze.columns)
     first = first_per_key(standard, "customer_id", "row_id")
-    counted = first.where("customer_id IS NOT NULL").agg(*Q.counters(rules[1:]))
-    # Null ids are counted on all rows: keeping the first row per id would leave one of them.
+    counted = first.where(~S.is_blank("customer_id")).agg(*Q.counters(rules[1:]))
+    # Empty ids are counted on all rows: keeping the first row per id would leave one of them.
     per_id = standard.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+    blank, n = S.is_blank("customer_id"), F.col("n")
     ids = per_id.agg(
-        F.coalesce(F.sum(F.when(F.col("customer_id").isNull(), F.col("n"))), F.lit(0)).alias("empty_customer_id"),
-        F.coalesce(F.sum(F.when(F.col("customer_id").isNotNull(), F.col("n") - 1)), F.lit(0)).alias(
-            "duplicate_customer_id"
-        ),
+        F.coalesce(F.sum(F.when(blank, n)), F.lit(0)).alias("empty_customer_id"),
+        F.coalesce(F.sum(F.when(~blank, n - 1)), F.lit(0)).alias("duplicate_customer_id"),
     )
     duplicate = Q.Rule("duplicate_customer_id", F.lit(True), Q.DROPPED, F.lit(None), F.lit(None))
     return Q.as_rows(ids, [rules[0], duplicate]).unionByName(Q.as_rows(counted, rules[1:]))
@@ -201,26 +215,42 @@ def standardise_subscriptions(bronze: DataFrame, settings: Settings = DEFAULTS)
     """Strip, correct and parse every field; keeps one output row per input row."""
     require_columns(bronze, SUBSCRIPTION_COLUMNS, "subscriptions")
 
-    def cleaned(name: str) -> Column:
-        return missing_to_null(S.strip(F.col(name).cast("string")), settings)
-
-    end_raw = cleaned("end_date")
-    end = S.parse_date(end_raw, settings.date_formats)
-    price_raw = S.correct(cleaned("monthly_price"), settings.price_corrections)
-    return bronze.select(
+    raw_price = F.col(RAW + "monthly_price").cast("string")
+    standard = computed_once(
+        bronze,
+        costly={
+            "customer_id": cleaned_text("customer_id", settings),
+            "start_date": _parsed_date("start_date", settings),
+            "end_date": _parsed_date("end_date", settings),
+            "monthly_price": S.parse_price(raw_price, settings.price_corrections),
+        },
+        cheap={
+            "row_id": F.col(RAW + "row_id"),
+            "start_date_raw": shown_text("start_date", settings),
+            "end_date_raw": shown_text("end_date", settings),
+            "plan": S.correct(cleaned_text("plan", settings), settings.plan_corrections),
+            "monthly_price_raw": S.correct(shown_text("monthly_price", settings), settings.price_corrections),
+        },
+    )
+    malformed = F.col("end_date_raw").isNotNull() & F.col("end_date").isNull()
+    return standard.select(
         "row_id",
-        cleaned("customer_id").alias("customer_id"),
-        cleaned("start_date").alias("start_date_raw"),
-        S.parse_date(cleaned("start_date"), settings.date_formats).alias("start_date"),
-        end_raw.alias("end_date_raw"),
-        end.alias("end_date"),
-        (end_raw.isNotNull() & end.isNull()).alias("end_date_malformed"),
-        S.correct(cleaned("plan"), settings.plan_corrections).alias("plan"),
-        price_raw.alias("monthly_price_raw"),
-        S.parse_price(price_raw).alias("monthly_price"),
+        "customer_id",
+        "start_date_raw",
+        "start_date",
+        "end_date_raw",
+        "end_date",
+        malformed.alias("end_date_malformed"),
+        "plan",
+        "monthly_price_raw",
+        "monthly_price",
     )
 
 
+def _parsed_date(name: str, settings: Settings) -> Column:
+    return S.parse_date(F.col(RAW + name).cast("string"), settings.date_formats)
+
+
 def with_customer_state(
     subs: DataFrame, reference: DataFrame | None, excluded: DataFrame | None
 ) -> DataFrame:
@@ -262,14 +292,14 @@ def subscription_rules(null_end: bool = False, lenient: bool = False) -> list[Q.
         Q.Rule("excluded_customer", state == "excluded", Q.DROPPED, F.lit(None), F.lit("customer was removed")),
         Q.Rule(
             "empty_customer_id",
-            customer.isNull(),
+            S.is_blank(customer) & (state != "excluded"),
             fatal,
             F.lit(None),
             F.lit("customer_id is empty"),
         ),
         Q.Rule(
             "unknown_customer",
-            (state == "unknown") & customer.isNotNull(),
+            (state == "unknown") & ~S.is_blank(customer),
             Q.DROPPED,
             F.lit(None),
             F.format_string("customer_id '%s' is not a known customer", customer),
@@ -439,13 +469,16 @@ def clean_subscriptions(
     overlap_policy: str = "warn",
     range_policy: str = "drop",
     settings: Settings = DEFAULTS,
-) -> CleanSubscriptions:
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> Outcome:
     """Silver subscriptions and findings.
 
     ``reference`` is (customer_id, signup_date), unique; without it no row is unknown.
     ``excluded`` is (customer_id), unique. ``overlap_policy`` "strict" makes overlaps fatal
     under the strict policy. ``range_policy`` "null_end" opens an end before its start
-    instead of treating the row as broken.
+    instead of treating the row as broken. ``stage`` (see operators.staging) stores the
+    rows with their customer state once for the rows, the gate and all findings, which
+    otherwise plan the same join each for themselves.
     """
     _check_policy(policy)
     if overlap_policy not in ("warn", "strict"):
@@ -455,18 +488,25 @@ def clean_subscriptions(
     null_end = range_policy == "null_end"
 
     stated = with_customer_state(standardise_subscriptions(bronze, settings), reference, excluded)
+    if stage is not None:
+        stated = stage(stated, "stated_subscriptions")
     rules = subscription_rules(null_end, lenient=policy != STRICT)
-    known = stated.where("customer_state = 'known' AND customer_id IS NOT NULL")
+    known = stated.where((F.col("customer_state") == "known") & ~S.is_blank("customer_id"))
     overlaps_fatal = overlap_policy == "strict"
-    diagnostics = _diagnostics(known, Q.FATAL if overlaps_fatal else Q.MONITOR, settings)
-    warnings = Q.union_all([Q.findings(stated, STAGE_SUBSCRIPTIONS, rules), *diagnostics])
+
+    def diagnostics() -> list[DataFrame]:
+        return _diagnostics(known, Q.FATAL if overlaps_fatal else Q.MONITOR, settings)
+
+    def warnings() -> DataFrame:
+        return Q.union_all([Q.findings(stated, STAGE_SUBSCRIPTIONS, rules), *diagnostics()])
 
     if policy == STRICT:
         fatal = [r for r in rules if r.severity == Q.FATAL]
         hits = stated.agg(*Q.counters(fatal)).first().asDict()
         if overlaps_fatal:
-            hits["overlap"] = diagnostics[0].count()
-        _gate("subscriptions", hits, warnings, settings)
+            hits["overlap"] = diagnostics()[0].count()
+        if any(hits.values()):
+            _gate("subscriptions", hits, warnings(), settings)
 
     rows = repair_date_ranges(known) if null_end else known
     if policy == LENIENT:
@@ -476,13 +516,11 @@ def clean_subscriptions(
     columns = [*SILVER_COLUMNS]
     if policy == FLAG:
         columns += ["start_date_raw", "monthly_price_raw"]
-    return CleanSubscriptions(rows=rows.select(*columns), warnings=warnings)
+    return Outcome(rows=rows.select(*columns), warnings=warnings)
 
 
 __all__ = [
-    "CUSTOMER_COLUMNS",
-    "CleanCustomers",
-    "CleanSubscriptions",
+    "Outcome",
     "clean_customers",
     "clean_subscriptions",
     "customer_reference",

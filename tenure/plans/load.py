@@ -6,68 +6,71 @@ be used is left out with a finding; the first rule that fails names the reason.
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenure.config import DEFAULTS, Settings
 from tenure.functions import scalars as S
 from tenure.operators import findings as Q
+from tenure.operators.once import RAW, computed_once
 from tenure.operators.ordered import first_per_key, positions
 from tenure.operators.sequences import overlaps_adjacent
-from tenure.plans.clean import missing_to_null
-from tenure.schemas import CUSTOMER_COLUMNS, SUBSCRIPTION_COLUMNS, require_columns
+from tenure.plans.clean import Outcome, shown_text
+from tenure.schemas import CUSTOMER_COLUMNS, PRICE, SUBSCRIPTION_COLUMNS, require_columns
 
 STAGE_CUSTOMERS = "load_customers"
 STAGE_SUBSCRIPTIONS = "load_subscriptions"
 STAGE_OVERLAPS = "overlaps"
 
 
-class Loaded(NamedTuple):
-    rows: DataFrame
-    warnings: DataFrame
-
-
 def number_lines(raw: DataFrame) -> DataFrame:
     """Add ``line_no`` as in a text file with a header line, in row id order."""
     return positions(raw, "row_id", "_position").withColumn("line_no", F.col("_position") + 2).drop("_position")
 
 
 def _line(raw: DataFrame) -> Column:
-    return F.col("line_no") if "line_no" in raw.columns else F.col("row_id")
+    return F.col(RAW + ("line_no" if "line_no" in raw.columns else "row_id"))
 
 
 def _raw_text(df: DataFrame, name: str, settings: Settings) -> Column:
-    """The text to show and to parse: the kept raw column if there is one."""
-    source = f"{name}_raw" if f"{name}_raw" in df.columns else name
-    return missing_to_null(S.strip(F.col(source).cast("string")), settings)
+    """The text to show: the kept raw column if there is one."""
+    return shown_text(f"{name}_raw" if f"{name}_raw" in df.columns else name, settings)
 
 
 def _date(df: DataFrame, name: str, settings: Settings) -> Column:
-    if dict(df.dtypes)[name] == "date":
-        return F.col(name)
-    return S.parse_date(_raw_text(df, name, settings), settings.date_formats)
+    if df.schema[name].dataType == T.DateType():
+        return F.col(RAW + name)
+    return S.parse_date(F.col(RAW + name).cast("string"), settings.date_formats)
+
 
+def _price(df: DataFrame, name: str) -> Column:
+    if df.schema[name].dataType == PRICE:
+        return F.col(RAW + name)
+    return S.parse_price(F.col(RAW + name).cast("string"))
 
-def load_customers(raw: DataFrame, settings: Settings = DEFAULTS) -> Loaded:
+
+def load_customers(raw: DataFrame, settings: Settings = DEFAULTS) -> Outcome:
     """Valid customers: the first *valid* row of each id."""
     require_columns(raw, CUSTOMER_COLUMNS, "customers")
-    parsed = raw.select(
-        "row_id",
-        F.col("customer_id").cast("string").alias("customer_id"),
-        _raw_text(raw, "signup_date", settings).alias("signup_date_raw"),
-        _date(raw, "signup_date", settings).alias("signup_date"),
-        F.coalesce(S.country_code("country"), F.lit("")).alias("country"),
-        _line(raw).alias("line_no"),
+    parsed = computed_once(
+        raw,
+        costly={"signup_date": _date(raw, "signup_date", settings)},
+        cheap={
+            "row_id": F.col(RAW + "row_id"),
+            "customer_id": F.col(RAW + "customer_id").cast("string"),
+            "signup_date_raw": _raw_text(raw, "signup_date", settings),
+            "country": F.coalesce(S.country_code(RAW + "country"), F.lit("")),
+            "line_no": _line(raw),
+        },
     )
-    valid = parsed.where("customer_id IS NOT NULL AND signup_date IS NOT NULL")
+    valid = parsed.where("customer_id <> '' AND signup_date IS NOT NULL")
     rows = first_per_key(valid, "customer_id", "row_id")
     first_valid = valid.groupBy("customer_id").agg(F.min("row_id").alias("_first"))
 
     line, first = F.col("line_no"), F.col("_first")
     duplicate = F.coalesce(F.col("row_id") > first, F.lit(False))
-    invalid = ~duplicate & (F.col("signup_date").isNull() | F.col("customer_id").isNull())
+    invalid = ~duplicate & (F.col("signup_date").isNull() | S.is_blank("customer_id"))
     reason = F.concat(F.lit("signup_date '"), F.coalesce("signup_date_raw", F.lit("")), F.lit("' is not a date"))
     kept = (F.col("row_id") == first) & (F.col("country") == "")
     rules = [
@@ -75,27 +78,36 @@ def load_customers(raw: DataFrame, settings: Settings = DEFAULTS) -> Loaded:
         Q.Rule("invalid_customer", invalid, Q.DROPPED, F.col("signup_date_raw"), Q.text("invalid_customer", line, reason)),
         Q.Rule("missing_country", kept, Q.MONITOR, F.lit(None), Q.text("missing_country", F.col("customer_id"))),
     ]
-    warnings = Q.findings(parsed.join(first_valid, "customer_id", "left"), STAGE_CUSTOMERS, rules)
-    return Loaded(rows.select("row_id", "customer_id", "signup_date", "country"), warnings)
+    return Outcome(
+        rows.select("row_id", "customer_id", "signup_date", "country"),
+        lambda: Q.findings(parsed.join(first_valid, "customer_id", "left"), STAGE_CUSTOMERS, rules),
+    )
 
 
-def load_subscriptions(raw: DataFrame, customers: DataFrame, settings: Settings = DEFAULTS) -> Loaded:
+def load_subscriptions(raw: DataFrame, customers: DataFrame, settings: Settings = DEFAULTS) -> Outcome:
     """Valid subscriptions of ``customers`` (unique customer_id), and a finding per problem."""
     require_columns(raw, SUBSCRIPTION_COLUMNS, "subscriptions")
-    typed_price = not dict(raw.dtypes)["monthly_price"] == "string"
-    price_raw = _raw_text(raw, "monthly_price", settings)
-    parsed = raw.select(
-        "row_id",
-        F.col("customer_id").cast("string").alias("customer_id"),
-        _raw_text(raw, "start_date", settings).alias("start_date_raw"),
-        _date(raw, "start_date", settings).alias("start_date"),
-        _raw_text(raw, "end_date", settings).alias("end_date_raw"),
-        _date(raw, "end_date", settings).alias("end_date"),
-        S.plan_name("plan").alias("plan"),
-        price_raw.alias("monthly_price_raw"),
-        (S.parse_price(F.col("monthly_price")) if typed_price else S.parse_price(price_raw)).alias("monthly_price"),
-        _line(raw).alias("line_no"),
-    )
+    typed = raw.schema["start_date"].dataType == T.DateType()
+    values = {
+        "start_date": _date(raw, "start_date", settings),
+        "end_date": _date(raw, "end_date", settings),
+        "monthly_price": _price(raw, "monthly_price"),
+    }
+    shown = {
+        "row_id": F.col(RAW + "row_id"),
+        "customer_id": F.col(RAW + "customer_id").cast("string"),
+        "start_date_raw": _raw_text(raw, "start_date", settings),
+        "end_date_raw": _raw_text(raw, "end_date", settings),
+        "plan": S.plan_name(RAW + "plan"),
+        "monthly_price_raw": _raw_text(raw, "monthly_price", settings),
+        "line_no": _line(raw),
+    }
+    # Typed silver columns are plain references: filters on them may reach the scan.
+    if typed:
+        renamed = raw.select(*[F.col(c).alias(RAW + c) for c in raw.columns])
+        parsed = renamed.select(*[c.alias(n) for n, c in {**values, **shown}.items()])
+    else:
+        parsed = computed_once(raw, costly=values, cheap=shown)
     ids = customers.select("customer_id")
     start, end, price = F.col("start_date"), F.col("end_date"), F.col("monthly_price")
     in_order = end.isNull() | (end >= start)
@@ -114,9 +126,9 @@ def load_subscriptions(raw: DataFrame, customers: DataFrame, settings: Settings
         Q.Rule("end_before_start", usable & (price >= 0) & (end < start), Q.DROPPED, F.concat_ws(" to ", start.cast("string"), end.cast("string")), Q.text("end_before_start", customer)),
     ]
     stated = parsed.join(ids.withColumn("_known", F.lit(True)), "customer_id", "left")
-    warnings = Q.findings(stated, STAGE_SUBSCRIPTIONS, rules)
-    return Loaded(
-        rows.select("row_id", "customer_id", "start_date", "end_date", "plan", "monthly_price"), warnings
+    return Outcome(
+        rows.select("row_id", "customer_id", "start_date", "end_date", "plan", "monthly_price"),
+        lambda: Q.findings(stated, STAGE_SUBSCRIPTIONS, rules),
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tenure.config import DEFAULTS, FLAG, LENIENT, STRICT, Settings
 from tenure.operators.findings import union_all
+from tenure.operators.staging import staged
 from tenure.plans import clean, load
 from tenure.plans.metrics import METRICS
 from tenure.schemas import CUSTOMER_COLUMNS, SUBSCRIPTION_COLUMNS
@@ -159,6 +160,7 @@ def run(
             policy=STRICT if strict else FLAG,
             overlap_policy=overlap_policy,
             settings=settings,
+            stage=staged,
         )
         silver_subs = f"{output_path}/silver/subscriptions"
         write_table(result.rows, silver_subs)

@@ -37,10 +37,22 @@ FROM o
 """
 
 
+# Given schemas spare a footer scan per read.
+SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING",
+}
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spark.sql(BRONZE_CUSTOMERS, orders=read("orders"), customer=read("customer"), nation=read("nation"))
+    tables = {name: _read(spark, sf_dir, name) for name in ("orders", "customer", "nation")}
+    return spark.sql(BRONZE_CUSTOMERS, **tables)
 
 
 def bronze_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(BRONZE_SUBSCRIPTIONS, orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return spark.sql(BRONZE_SUBSCRIPTIONS, orders=_read(spark, sf_dir, "orders"))

@@ -39,7 +39,8 @@ def exact_quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]
     """
     by = list(by) or ["_all"]
     if by == ["_all"]:
-        counts = counts.withColumn("_all", F.lit(0))
+        # Always 0, but not a literal: joins on it stay equi-joins.
+        counts = counts.withColumn("_all", F.pmod("n", F.lit(1)))
     millionths = (F.col("value") * _SCALE).cast("long")
     digits = counts.select(
         *by,
@@ -100,7 +101,7 @@ def describe(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     for column in by:
         present = present.where(F.col(column).isNotNull())
     as_double = F.col(value).cast("double")
-    moments = present.groupBy(*(by or [F.lit(0).alias("_all")])).agg(
+    moments = present.groupBy(*by).agg(
         F.count(F.lit(1)).alias("count"),
         F.round(F.avg(as_double), 6).alias("mean"),
         F.round(F.stddev_samp(as_double), 6).alias("std"),
@@ -109,17 +110,20 @@ def describe(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     )
     counts = value_counts(present, by, F.col(value))
     quartiles = exact_quantiles(counts, by, QUARTILES)
-    if not by:
-        quartiles = quartiles.withColumn("_all", F.lit(0))
-    return moments.join(quartiles, by or ["_all"]).select(
+    if by:
+        joined = moments.join(quartiles, by)
+        q = [F.col(f"q_{i}") for i in range(len(QUARTILES))]
+    else:
+        one_row = quartiles.agg(F.max(F.struct(*[f"q_{i}" for i in range(len(QUARTILES))]))).scalar()
+        joined = moments.where("count > 0").withColumn("_q", one_row)
+        q = [F.col(f"_q.q_{i}") for i in range(len(QUARTILES))]
+    return joined.select(
         *by,
         "count",
         "mean",
         "std",
         "min",
-        F.round("q_0", 6).alias("p25"),
-        F.round("q_1", 6).alias("p50"),
-        F.round("q_2", 6).alias("p75"),
+        *[F.round(c, 6).alias(name) for c, name in zip(q, ("p25", "p50", "p75"))],
         "max",
     )
 

@@ -67,7 +67,8 @@ def _listed_messages(warnings: DataFrame) -> Column:
     entry = F.struct(
         stage.alias("stage"), F.coalesce(owner, F.lit("")).alias("owner"), "row_id", "rule_id", "message"
     )
-    return F.transform(warnings.agg(F.array_sort(F.collect_list(entry))).scalar(), lambda e: e["message"])
+    in_order = F.array_sort(F.collect_list(entry))
+    return warnings.agg(F.transform(in_order, lambda e: e["message"])).scalar()
 
 
 def report_document(

@@ -25,6 +25,14 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def interpreted_plans(request, spark):
+    """Tiny inputs: skip code generation, except where whole queries are compared."""
+    generate = request.module.__name__ == "test_entry"
+    spark.conf.set("spark.sql.codegen.wholeStage", str(generate).lower())
+    spark.conf.set("spark.sql.shuffle.partitions", "8" if generate else "3")
+
+
 def day(text: str | None) -> date | None:
     return date.fromisoformat(text) if text else None
 

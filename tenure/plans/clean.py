@@ -19,7 +19,7 @@ from tenure.config import DEFAULTS, FLAG, LENIENT, STRICT, Settings
 from tenure.errors import DataQualityError
 from tenure.functions import scalars as S
 from tenure.operators import findings as Q
-from tenure.operators.once import RAW, computed_once
+from tenure.operators.once import computed_once, made
 from tenure.operators.ordered import first_per_key
 from tenure.operators.quantiles import exact_quantiles, value_counts
 from tenure.operators.sequences import overlaps_running_max
@@ -44,7 +44,7 @@ class Outcome:
 
 def cleaned_text(name: str, settings: Settings) -> Column:
     """The stripped text, null for the configured missing-value words."""
-    c = S.strip(F.col(RAW + name).cast("string"))
+    c = S.strip(F.col(name).cast("string"))
     words = [w for w in settings.na_values if w != ""]
     return F.when(c.isin(*words), None).otherwise(c) if words else c
 
@@ -79,19 +79,18 @@ def standardise_customers(bronze: DataFrame, settings: Settings = DEFAULTS) -> D
     """Strip, upper-case the country, parse the signup date; keeps one output row per input row."""
     require_columns(bronze, ("customer_id", "signup_date"), "customers")
     has_country = "country" in bronze.columns
-    standard = computed_once(
+    return computed_once(
         bronze,
         costly={
             "customer_id": cleaned_text("customer_id", settings),
-            "signup_date": S.parse_date(F.col(RAW + "signup_date").cast("string"), settings.date_formats),
+            "signup_date": _parsed_date("signup_date", settings),
         },
         cheap={
-            "row_id": F.col(RAW + "row_id"),
+            "row_id": F.col("row_id"),
             "signup_date_raw": shown_text("signup_date", settings),
-            "country": S.country_code(RAW + "country") if has_country else F.lit(None).cast("string"),
+            "country": S.country_code("country") if has_country else F.lit(None).cast("string"),
         },
     )
-    return standard.select("row_id", "customer_id", "signup_date_raw", "signup_date", "country")
 
 
 def customer_rules(settings: Settings = DEFAULTS, has_country: bool = True) -> list[Q.Rule]:
@@ -215,8 +214,8 @@ def standardise_subscriptions(bronze: DataFrame, settings: Settings = DEFAULTS)
     """Strip, correct and parse every field; keeps one output row per input row."""
     require_columns(bronze, SUBSCRIPTION_COLUMNS, "subscriptions")
 
-    raw_price = F.col(RAW + "monthly_price").cast("string")
-    standard = computed_once(
+    raw_price, end_raw = F.col("monthly_price").cast("string"), shown_text("end_date", settings)
+    return computed_once(
         bronze,
         costly={
             "customer_id": cleaned_text("customer_id", settings),
@@ -225,30 +224,18 @@ def standardise_subscriptions(bronze: DataFrame, settings: Settings = DEFAULTS)
             "monthly_price": S.parse_price(raw_price, settings.price_corrections),
         },
         cheap={
-            "row_id": F.col(RAW + "row_id"),
+            "row_id": F.col("row_id"),
             "start_date_raw": shown_text("start_date", settings),
-            "end_date_raw": shown_text("end_date", settings),
+            "end_date_raw": end_raw,
+            "end_date_malformed": end_raw.isNotNull() & made("end_date").isNull(),
             "plan": S.correct(cleaned_text("plan", settings), settings.plan_corrections),
             "monthly_price_raw": S.correct(shown_text("monthly_price", settings), settings.price_corrections),
         },
     )
-    malformed = F.col("end_date_raw").isNotNull() & F.col("end_date").isNull()
-    return standard.select(
-        "row_id",
-        "customer_id",
-        "start_date_raw",
-        "start_date",
-        "end_date_raw",
-        "end_date",
-        malformed.alias("end_date_malformed"),
-        "plan",
-        "monthly_price_raw",
-        "monthly_price",
-    )
 
 
 def _parsed_date(name: str, settings: Settings) -> Column:
-    return S.parse_date(F.col(RAW + name).cast("string"), settings.date_formats)
+    return S.parse_date(F.col(name).cast("string"), settings.date_formats)
 
 
 def with_customer_state(

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tenure.config import DEFAULTS, Settings
 from tenure.functions import scalars as S
 from tenure.operators import findings as Q
-from tenure.operators.once import RAW, computed_once
+from tenure.operators.once import computed_once
 from tenure.operators.ordered import first_per_key, positions
 from tenure.operators.sequences import overlaps_adjacent
 from tenure.plans.clean import Outcome, shown_text
@@ -30,7 +30,7 @@ def number_lines(raw: DataFrame) -> DataFrame:
 
 
 def _line(raw: DataFrame) -> Column:
-    return F.col(RAW + ("line_no" if "line_no" in raw.columns else "row_id"))
+    return F.col("line_no" if "line_no" in raw.columns else "row_id")
 
 
 def _raw_text(df: DataFrame, name: str, settings: Settings) -> Column:
@@ -40,14 +40,14 @@ def _raw_text(df: DataFrame, name: str, settings: Settings) -> Column:
 
 def _date(df: DataFrame, name: str, settings: Settings) -> Column:
     if df.schema[name].dataType == T.DateType():
-        return F.col(RAW + name)
-    return S.parse_date(F.col(RAW + name).cast("string"), settings.date_formats)
+        return F.col(name)
+    return S.parse_date(F.col(name).cast("string"), settings.date_formats)
 
 
 def _price(df: DataFrame, name: str) -> Column:
     if df.schema[name].dataType == PRICE:
-        return F.col(RAW + name)
-    return S.parse_price(F.col(RAW + name).cast("string"))
+        return F.col(name)
+    return S.parse_price(F.col(name).cast("string"))
 
 
 def load_customers(raw: DataFrame, settings: Settings = DEFAULTS) -> Outcome:
@@ -57,10 +57,10 @@ def load_customers(raw: DataFrame, settings: Settings = DEFAULTS) -> Outcome:
         raw,
         costly={"signup_date": _date(raw, "signup_date", settings)},
         cheap={
-            "row_id": F.col(RAW + "row_id"),
-            "customer_id": F.col(RAW + "customer_id").cast("string"),
+            "row_id": F.col("row_id"),
+            "customer_id": F.col("customer_id").cast("string"),
             "signup_date_raw": _raw_text(raw, "signup_date", settings),
-            "country": F.coalesce(S.country_code(RAW + "country"), F.lit("")),
+            "country": F.coalesce(S.country_code("country"), F.lit("")),
             "line_no": _line(raw),
         },
     )
@@ -94,18 +94,17 @@ def load_subscriptions(raw: DataFrame, customers: DataFrame, settings: Settings
         "monthly_price": _price(raw, "monthly_price"),
     }
     shown = {
-        "row_id": F.col(RAW + "row_id"),
-        "customer_id": F.col(RAW + "customer_id").cast("string"),
+        "row_id": F.col("row_id"),
+        "customer_id": F.col("customer_id").cast("string"),
         "start_date_raw": _raw_text(raw, "start_date", settings),
         "end_date_raw": _raw_text(raw, "end_date", settings),
-        "plan": S.plan_name(RAW + "plan"),
+        "plan": S.plan_name("plan"),
         "monthly_price_raw": _raw_text(raw, "monthly_price", settings),
         "line_no": _line(raw),
     }
     # Typed silver columns are plain references: filters on them may reach the scan.
     if typed:
-        renamed = raw.select(*[F.col(c).alias(RAW + c) for c in raw.columns])
-        parsed = renamed.select(*[c.alias(n) for n, c in {**values, **shown}.items()])
+        parsed = raw.select(*[c.alias(n) for n, c in {**shown, **values}.items()])
     else:
         parsed = computed_once(raw, costly=values, cheap=shown)
     ids = customers.select("customer_id")

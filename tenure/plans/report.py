@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenure.config import DEFAULTS, FLAG, LENIENT, STRICT, Settings
-from tenure.operators.findings import union_all
 from tenure.operators.staging import staged
 from tenure.plans import clean, load
 from tenure.plans.metrics import METRICS
@@ -140,6 +139,10 @@ def run(
     given = {"customers": customers_path, "subscriptions": subscriptions_path}
     raw_customers = read_table(spark, customers_path, CUSTOMER_COLUMNS, "customers", dense_lines)
     raw_subs = read_table(spark, subscriptions_path, SUBSCRIPTION_COLUMNS, "subscriptions", dense_lines)
+    # Text is parsed once; the customer table is read by several steps.
+    raw_customers = staged(raw_customers, "raw_customers")
+    if dense_lines or skip_preprocessing:
+        raw_subs = staged(raw_subs, "raw_subscriptions")
     cleaning: list[DataFrame] = []
 
     if not skip_preprocessing:
@@ -183,10 +186,12 @@ def run(
     loaded_subs = spark.read.parquet(f"{output_path}/loaded/subscriptions")
     require_rows(loaded_subs, "subscriptions")
 
-    found = union_all(
-        [*cleaning, customers.warnings, subs.warnings, load.overlap_warnings(loaded_subs, settings)]
-    )
-    write_table(found, f"{output_path}/warnings", partition_by=("stage",))
+    # One plan per stage: a single union would be planned again after each of its shuffles.
+    overlaps = load.overlap_warnings(loaded_subs, settings)
+    mode = "overwrite"
+    for found in (*cleaning, customers.warnings, subs.warnings, overlaps):
+        write_table(found, f"{output_path}/warnings", partition_by=("stage",), mode=mode)
+        mode = "append"
     warnings = spark.read.parquet(f"{output_path}/warnings")
 
     progress("measuring")

@@ -10,16 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 BRONZE_CUSTOMERS = """
 WITH fo AS (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS d0 FROM {orders} GROUP BY o_custkey),
-base AS (SELECT c_custkey AS k, d0, n_name AS country FROM {customer}
-         JOIN fo ON o_custkey = c_custkey JOIN {nation} ON n_nationkey = c_nationkey)
-SELECT k AS row_id,
-  CASE WHEN k % 13 = 0 THEN concat('  C', CAST(k AS STRING), ' ') ELSE concat('C', CAST(k AS STRING)) END AS customer_id,
-  CASE WHEN k % 97 = 5 THEN '2024-13-05' WHEN k % 89 = 7 THEN ''
+base AS (SELECT c_custkey AS k, d0, n_name AS country, CASE WHEN c_custkey % 50 = 0 THEN 1 ELSE 0 END AS doubled
+         FROM {customer} JOIN fo ON o_custkey = c_custkey JOIN {nation} ON n_nationkey = c_nationkey),
+copies AS (SELECT 0 AS doubled, 0 AS copy UNION ALL SELECT 1, 0 UNION ALL SELECT 1, 1)
+SELECT k + CAST(copy AS BIGINT) * 1000000000 AS row_id,
+  CASE WHEN copy = 0 AND k % 13 = 0 THEN concat('  C', CAST(k AS STRING), ' ') ELSE concat('C', CAST(k AS STRING)) END AS customer_id,
+  CASE WHEN copy = 1 THEN CAST(d0 + 1 AS STRING) WHEN k % 97 = 5 THEN '2024-13-05' WHEN k % 89 = 7 THEN ''
        WHEN k % 41 = 3 THEN CAST(d0 + 40 AS STRING) ELSE CAST(d0 AS STRING) END AS signup_date,
-  CASE WHEN k % 29 = 0 THEN NULL WHEN k % 7 = 0 THEN concat(' ', lower(country)) ELSE country END AS country
-FROM base
-UNION ALL
-SELECT k + 1000000000, concat('C', CAST(k AS STRING)), CAST(d0 + 1 AS STRING), 'DUPLICATE' FROM base WHERE k % 50 = 0
+  CASE WHEN copy = 1 THEN 'DUPLICATE' WHEN k % 29 = 0 THEN NULL WHEN k % 7 = 0 THEN concat(' ', lower(country)) ELSE country END AS country
+FROM base JOIN copies ON copies.doubled = base.doubled
 """
 
 BRONZE_SUBSCRIPTIONS = """

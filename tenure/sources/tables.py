@@ -62,9 +62,15 @@ def read_table(
     return read_parquet(spark, path, columns, table)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
-    """Overwrite ``path``, creating parent folders."""
-    writer = df.write.mode("overwrite")
+def write_table(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: tuple[str, ...] = (),
+    mode: str = "overwrite",
+) -> None:
+    """Write a folder, creating its parents."""
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":

@@ -55,14 +55,8 @@ class Tables:
 
     @cached_property
     def customers(self) -> DataFrame:
-        """Silver customers."""
-        return self.cleaned_customers.rows
-
-    @cached_property
-    def cleaned_subscriptions(self) -> clean.Outcome:
-        return clean.clean_subscriptions(
-            self.bronze_subscriptions, reference=self.customers, excluded=self.cleaned_customers.removed, policy="lenient"
-        )
+        """Silver customers, stored: they are the lookup side of every join."""
+        return staged(self.cleaned_customers.rows, "customers")
 
     @cached_property
     def staged_cleaning(self) -> clean.Outcome:
@@ -78,7 +72,7 @@ class Tables:
     def stated(self) -> DataFrame:
         """Standardised subscriptions with the state of their customer."""
         return clean.with_customer_state(
-            self.standard_subscriptions, self.customers, self.cleaned_customers.removed
+            self.standard_subscriptions, self.customers, self.cleaned_customers.removed, stage=staged
         )
 
     @cached_property
@@ -121,7 +115,9 @@ def _prices_as_double(df: DataFrame) -> DataFrame:
 
 
 def _silver_subscriptions(t: Tables) -> DataFrame:
-    return _prices_as_double(t.cleaned_subscriptions.rows)
+    # The stored silver customers are the only known ones, removed customers are not in it.
+    cleaned = clean.clean_subscriptions(t.bronze_subscriptions, reference=t.customers, policy="lenient")
+    return _prices_as_double(cleaned.rows)
 
 
 def _report_warnings(t: Tables) -> DataFrame:
@@ -138,7 +134,7 @@ def _dq_warnings(t: Tables) -> DataFrame:
 
 def _raw_loaded(t: Tables) -> clean.Outcome:
     """Subscriptions loaded straight from bronze, with line numbers in the messages."""
-    known = load.load_customers(t.bronze_customers).rows
+    known = staged(load.load_customers(t.bronze_customers).rows, "loaded_customers")
     return load.load_subscriptions(load.number_lines(t.bronze_subscriptions), known)
 
 
@@ -170,7 +166,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         S.is_active("end_date").alias("is_active"),
         S.shown_end("end_date").alias("shown_end"),
     ),
-    "target_date_3m": lambda t: metrics.retention_targets(t.customers),
+    "target_date_3m": lambda t: metrics.retention_targets(t.cleaned_customers.rows),
     # rules
     "dq_customer_rules": lambda t: clean.customer_rule_counts(t.bronze_customers),
     "customers_dedup": lambda t: first_per_key(t.standard_customers, "customer_id", "row_id").select(
@@ -204,7 +200,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_warnings": _dq_warnings,
     "first_warnings": lambda t: report.first_warnings(_report_warnings(t)),
     # pipelines
-    "silver_customers": lambda t: t.customers,
+    "silver_customers": lambda t: t.cleaned_customers.rows,
     "silver_subscriptions": _silver_subscriptions,
     "load_customers": lambda t: _raw_loaded_customers(t).rows,
     "load_customers_warnings": lambda t: _raw_loaded_customers(t).warnings,
@@ -227,8 +223,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "gap_stats": lambda t: explore.gap_stats(t.staged_repaired),
     "gap_histogram": lambda t: explore.gap_histogram(t.staged_repaired),
     "resubscription_shares": lambda t: explore.resubscription_shares(t.staged_repaired),
-    "cohort_sizes": lambda t: explore.cohort_sizes(t.customers),
-    "tiny_cohorts": lambda t: explore.tiny_cohorts(t.customers),
+    "cohort_sizes": lambda t: explore.cohort_sizes(t.cleaned_customers.rows),
+    "tiny_cohorts": lambda t: explore.tiny_cohorts(t.cleaned_customers.rows),
     "cohort_retention_exploratory": lambda t: explore.cohort_retention_exploratory(t.customers, t.repaired),
     "subscription_duration": lambda t: explore.subscription_duration(t.repaired, AS_OF),
     "duration_stats": lambda t: explore.duration_stats(t.repaired, AS_OF),

@@ -1,4 +1,10 @@
-"""Write an intermediate result once when several steps read it."""
+"""Write an intermediate result once.
+
+Two uses: several steps read the result, or it is the lookup side of a join whose other side
+may be skewed. Spark splits a hot partition of a join only when both inputs come straight out
+of a shuffle; a lookup that ends in an aggregate or a window on the join key does not, a scan
+of a written table does.
+"""
 
 from __future__ import annotations
 

@@ -23,6 +23,7 @@ from tenure.operators.once import computed_once, made
 from tenure.operators.ordered import first_per_key
 from tenure.operators.quantiles import exact_quantiles, value_counts
 from tenure.operators.sequences import overlaps_running_max
+from tenure.operators.staging import staged
 from tenure.schemas import SUBSCRIPTION_COLUMNS, require_columns
 
 STAGE_CUSTOMERS = "clean_customers"
@@ -127,13 +128,14 @@ def customer_rules(settings: Settings = DEFAULTS, has_country: bool = True) -> l
 
 
 def duplicate_customers(standard: DataFrame) -> DataFrame:
-    """Every row of an id after its first one."""
-    firsts = (
+    """Every row of an id after its first one; one id may own most of the rows."""
+    firsts = staged(
         standard.where(~S.is_blank("customer_id"))
         .groupBy("customer_id")
         .agg(F.min("row_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
-        .select("customer_id", "_first")
+        .select("customer_id", "_first"),
+        "first_rows",
     )
     return standard.join(firsts, "customer_id").where(F.col("row_id") > F.col("_first")).drop("_first")
 
@@ -239,12 +241,15 @@ def _parsed_date(name: str, settings: Settings) -> Column:
 
 
 def with_customer_state(
-    subs: DataFrame, reference: DataFrame | None, excluded: DataFrame | None
+    subs: DataFrame,
+    reference: DataFrame | None,
+    excluded: DataFrame | None,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Add ``customer_state`` (known / unknown / excluded) and ``signup_date`` with one join.
 
-    The lookup side has one row per customer, so a customer with very many subscriptions
-    only makes the left side uneven, and Spark splits uneven left partitions at run time.
+    The lookup side has one row per customer. ``stage`` stores it first, so that Spark can
+    split the rows of a customer with very many subscriptions (see operators.staging).
     """
     known = F.lit("known")
     if reference is None and excluded is None:
@@ -263,6 +268,8 @@ def with_customer_state(
             .groupBy("customer_id")
             .agg(F.max("signup_date").alias("signup_date"), F.bool_or("_out").alias("_out"))
         )
+    if stage is not None:
+        lookup = stage(lookup, "customer_lookup")
     absent = known if reference is None else F.lit("unknown")
     state = F.when(F.col("_out"), F.lit("excluded")).when(~F.col("_out"), known).otherwise(absent)
     return subs.join(lookup, "customer_id", "left").withColumn("customer_state", state).drop("_out")
@@ -474,7 +481,7 @@ def clean_subscriptions(
         raise ValueError("range_policy must be 'drop' or 'null_end'")
     null_end = range_policy == "null_end"
 
-    stated = with_customer_state(standardise_subscriptions(bronze, settings), reference, excluded)
+    stated = with_customer_state(standardise_subscriptions(bronze, settings), reference, excluded, stage)
     if stage is not None:
         stated = stage(stated, "stated_subscriptions")
     rules = subscription_rules(null_end, lenient=policy != STRICT)

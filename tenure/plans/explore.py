@@ -9,6 +9,7 @@ from tenure.config import DEFAULTS, Settings
 from tenure.functions import scalars as S
 from tenure.operators.quantiles import describe, describe_days, histogram, value_counts
 from tenure.operators.sequences import gaps
+from tenure.operators.staging import staged
 from tenure.plans.metrics import with_retained
 
 PRICE_BINS = 10
@@ -85,7 +86,7 @@ def multi_active_customers(subs: DataFrame, as_of: str) -> DataFrame:
 
 def multi_active_details(subs: DataFrame, as_of: str) -> DataFrame:
     """The active subscriptions of those customers."""
-    several = multi_active_customers(subs, as_of).select("customer_id")
+    several = staged(multi_active_customers(subs, as_of).select("customer_id"), "multi_active")
     return (
         _active(subs, as_of)
         .join(several, "customer_id", "left_semi")

@@ -16,6 +16,7 @@ from tenure.operators import findings as Q
 from tenure.operators.once import computed_once
 from tenure.operators.ordered import first_per_key, positions
 from tenure.operators.sequences import overlaps_adjacent
+from tenure.operators.staging import staged
 from tenure.plans.clean import Outcome, shown_text
 from tenure.schemas import CUSTOMER_COLUMNS, PRICE, SUBSCRIPTION_COLUMNS, require_columns
 
@@ -80,12 +81,18 @@ def load_customers(raw: DataFrame, settings: Settings = DEFAULTS) -> Outcome:
     ]
     return Outcome(
         rows.select("row_id", "customer_id", "signup_date", "country"),
-        lambda: Q.findings(parsed.join(first_valid, "customer_id", "left"), STAGE_CUSTOMERS, rules),
+        lambda: Q.findings(
+            parsed.join(staged(first_valid, "first_valid_rows"), "customer_id", "left"), STAGE_CUSTOMERS, rules
+        ),
     )
 
 
 def load_subscriptions(raw: DataFrame, customers: DataFrame, settings: Settings = DEFAULTS) -> Outcome:
-    """Valid subscriptions of ``customers`` (unique customer_id), and a finding per problem."""
+    """Valid subscriptions of ``customers`` (unique customer_id), and a finding per problem.
+
+    Pass ``customers`` as a stored table: Spark can then split the rows of a customer with
+    very many subscriptions (see operators.staging).
+    """
     require_columns(raw, SUBSCRIPTION_COLUMNS, "subscriptions")
     typed = raw.schema["start_date"].dataType == T.DateType()
     values = {

@@ -124,6 +124,7 @@ def run(
     skip_preprocessing: bool = False,
     dense_lines: bool = False,
     silver_format: str = "parquet",
+    input_bytes: int | None = None,
     progress: Callable[[str], None] = lambda message: None,
     settings: Settings = DEFAULTS,
 ) -> Run:
@@ -134,8 +135,9 @@ def run(
     one step. ``policy`` "strict" raises on fatal findings; "lenient" lets the loader drop
     the rows. ``skip_preprocessing`` takes the two paths as silver tables. ``dense_lines``
     puts text-file line numbers into the messages (one more pass over the row ids).
+    ``input_bytes`` sizes the shuffles (see session.configure).
     """
-    configure(spark)
+    configure(spark, input_bytes)
     given = {"customers": customers_path, "subscriptions": subscriptions_path}
     raw_customers = read_table(spark, customers_path, CUSTOMER_COLUMNS, "customers", dense_lines)
     raw_subs = read_table(spark, subscriptions_path, SUBSCRIPTION_COLUMNS, "subscriptions", dense_lines)

@@ -15,21 +15,42 @@ RUNTIME_SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session and return it."""
+# One shuffle partition per this many bytes of input, before the adaptive planner merges
+# small ones. Partitions of this size sort in memory on ordinary executors.
+BYTES_PER_PARTITION = 256 << 20
+MAX_PARTITIONS = 200_000
+
+
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """How many shuffle partitions an input of that size needs."""
+    return max(cores, min(MAX_PARTITIONS, -(-input_bytes // BYTES_PER_PARTITION)))
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings to an existing session and return it.
+
+    ``input_bytes`` sizes the shuffles; the 200 partitions Spark starts from would hold
+    half a terabyte each at 100 TB. Without it a cluster keeps its own setting.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
-    master = spark.sparkContext.master
-    if master.startswith("local"):
-        # One wave of reducers on a single machine; a cluster keeps its own setting.
-        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    context = spark.sparkContext
+    cores = context.defaultParallelism
+    if input_bytes is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes, cores)))
+    elif context.master.startswith("local"):
+        # One wave of reducers on a single machine.
+        spark.conf.set("spark.sql.shuffle.partitions", str(cores))
     return spark
 
 
-def build_session(app_name: str = "tenure", master: str | None = None) -> SparkSession:
+def build_session(app_name: str = "tenure", master: str | None = None, driver_memory: str = "4g") -> SparkSession:
     """Create (or reuse) a session with the settings above."""
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false").config(
-        "spark.ui.showConsoleProgress", "false"
+    builder = (
+        SparkSession.builder.appName(app_name)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", driver_memory)
     )
     if master:
         builder = builder.master(master)

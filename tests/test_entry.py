@@ -42,3 +42,17 @@ def test_scans_read_only_needed_columns(spark):
     plan = entry.queries()["cohort_sizes"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     columns = set(re.findall(r"o_\w+", " ".join(re.findall(r"FileScan parquet \[[^\]]*\]", plan))))
     assert columns == {"o_custkey", "o_orderdate"}
+
+
+def test_figures_measured_earlier_on_these_tables(spark):
+    """Fixed values, found with other queries before this code was written."""
+    t = entry.Tables(spark, "/root/testdata/sf0.01")
+    assert t.customers.count() == 1467
+    assert t.known.count() == 14584
+    valid = t.staged_valid
+    assert valid.count() == 14197
+    assert {r["month"]: r["mrr"] for r in entry.metrics.monthly_mrr(valid).collect()}["2001-11"] == 212208.5
+    assert {r["month"]: r["churned_count"] for r in entry.metrics.monthly_churn(valid).collect()}["1995-03"] == 62
+    assert entry.overlaps_adjacent(valid).count() == 1944
+    first = entry.metrics.cohort_retention(t.customers, valid).orderBy("cohort_month").first()
+    assert tuple(first) == ("1995-01", 171, 101, 0.5906)

@@ -382,7 +382,7 @@ def plan_price_spread(subs: DataFrame) -> DataFrame:
     )
 
 
-def _diagnostics(known: DataFrame, overlap_severity: str, settings: Settings) -> list[DataFrame]:
+def _overlap_findings(known: DataFrame, severity: str, settings: Settings) -> DataFrame:
     overlaps = overlaps_running_max(known.where("start_date IS NOT NULL"), settings)
     shown = Q.text(
         "overlap",
@@ -392,11 +392,16 @@ def _diagnostics(known: DataFrame, overlap_severity: str, settings: Settings) ->
         F.col("current_start"),
         S.shown_end("current_end"),
     )
+    rule = Q.Rule("overlap", F.lit(True), severity, F.col("current_start"), shown)
+    return Q.findings(overlaps, STAGE_SUBSCRIPTIONS, [rule])
+
+
+def _diagnostics(known: DataFrame, overlap_severity: str, settings: Settings) -> list[DataFrame]:
     spread = plan_price_spread(known).select(
         F.lit(None).cast("long").alias("row_id"), F.lit(None).cast("string").alias("customer_id"), "*"
     )
     return [
-        Q.findings(overlaps, STAGE_SUBSCRIPTIONS, [Q.Rule("overlap", F.lit(True), overlap_severity, F.col("current_start"), shown)]),
+        _overlap_findings(known, overlap_severity, settings),
         Q.findings(
             price_outliers(known, settings),
             STAGE_SUBSCRIPTIONS,
@@ -488,19 +493,21 @@ def clean_subscriptions(
     known = stated.where((F.col("customer_state") == "known") & ~S.is_blank("customer_id"))
     overlaps_fatal = overlap_policy == "strict"
 
-    def diagnostics() -> list[DataFrame]:
-        return _diagnostics(known, Q.FATAL if overlaps_fatal else Q.MONITOR, settings)
+    overlap_severity = Q.FATAL if overlaps_fatal else Q.MONITOR
 
     def warnings() -> DataFrame:
-        return Q.union_all([Q.findings(stated, STAGE_SUBSCRIPTIONS, rules), *diagnostics()])
+        diagnostics = _diagnostics(known, overlap_severity, settings)
+        return Q.union_all([Q.findings(stated, STAGE_SUBSCRIPTIONS, rules), *diagnostics])
 
     if policy == STRICT:
         fatal = [r for r in rules if r.severity == Q.FATAL]
         hits = stated.agg(*Q.counters(fatal)).first().asDict()
+        shown = [Q.findings(stated, STAGE_SUBSCRIPTIONS, fatal)]
         if overlaps_fatal:
-            hits["overlap"] = diagnostics()[0].count()
+            shown.append(_overlap_findings(known, overlap_severity, settings))
+            hits["overlap"] = shown[-1].count()
         if any(hits.values()):
-            _gate("subscriptions", hits, warnings(), settings)
+            _gate("subscriptions", hits, Q.union_all(shown), settings)
 
     rows = repair_date_ranges(known) if null_end else known
     if policy == LENIENT:

@@ -20,14 +20,14 @@ SHARED_FOLDER = "spark.checkpoint.dir"
 
 def staging_folder(spark: SparkSession) -> str:
     """The shared folder named by the session; a local one only for a local master."""
-    folder = spark.conf.get(SHARED_FOLDER, None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get(SHARED_FOLDER, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise DataQualityError(f"Set {SHARED_FOLDER} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tenure-")
-    spark.conf.set(SHARED_FOLDER, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tenure-"))
+    return context.getCheckpointDir()
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ with the parquet tables they come from.
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 from functools import cached_property
 
@@ -250,8 +251,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(Tables(spark, sf_dir))
 
-    return {name: bind(build) for name, build in QUERIES.items()}
+    return {name: bind(build) for name, build in QUERIES.items()} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | _training_data()[1]
+
+
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data operators, none where their folder is gone."""
+    if not (importlib.util.find_spec("tenure.llm") and importlib.util.find_spec("tenure.llm.queries")):
+        return {}, {}
+    from tenure.llm import queries as training, sql
+
+    found = dict(training.QUERIES)
+    if importlib.util.find_spec("corpus_pipeline"):
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+    return found, {name: text for name, text in sql.ORACLES.items() if name in found}

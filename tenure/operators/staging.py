@@ -8,7 +8,6 @@ of a written table does.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,15 +18,14 @@ SHARED_FOLDER = "spark.checkpoint.dir"
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder named by the session; a local one only for a local master."""
+    """The shared folder named by the session; a local master may use its warehouse."""
     context = spark.sparkContext
     folder = spark.conf.get(SHARED_FOLDER, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local["):
         raise DataQualityError(f"Set {SHARED_FOLDER} to a folder that all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tenure-"))
-    return context.getCheckpointDir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/staging"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

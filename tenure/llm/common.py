@@ -15,6 +15,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def text_of(c: Column | str) -> Column:
     """The text, null as the empty text."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))

@@ -1,4 +1,4 @@
-"""The registered queries of this package and their SQL."""
+"""The registered queries of this package."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import sharding
-from tenure.llm.common import documents
+from tenure.llm import langid, mixing, quality, sharding
+from tenure.llm.common import documents, labels
 
 SHARDS = 24
 
@@ -16,6 +16,21 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, sf_dir), [1.0] * SHARDS)
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(documents(spark, sf_dir))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(documents(spark, sf_dir), labels(spark, sf_dir))[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op3_language": op3_language,
+    "op9_mixing": op9_mixing,
+    "op10_quality_rules": op10_quality_rules,
 }

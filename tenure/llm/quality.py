@@ -158,7 +158,6 @@ def _grow(rows: pd.DataFrame, bad: np.ndarray) -> Rule:
                         found, most = Condition(feature, above, float(cut)), gain
         if found is None:
             break
-        rule.append(found)
         # Halfway to the next value seen, so that the rule does not hang on one row.
         v = rows[found.feature].to_numpy(float)[inside]
         upper = v[v > found.threshold]

@@ -24,7 +24,7 @@ from tenure.operators.staging import staged
 MOST_COPIES = 3
 WEIGHTS = (1, 2, 3)
 #: Documents of a source in one bucket, about; and buckets that meet at the next level.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 FAN = 1_000
 #: A table of sources up to this number of rows is broadcast, a larger one is joined by shuffle.
 BROADCAST_SOURCES = 50_000

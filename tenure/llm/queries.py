@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import langid, mixing, quality, sharding, toxicity
+from tenure.llm import langid, mixing, pieces, quality, sharding, toxicity
 from tenure.llm.common import documents, labels
 
 SHARDS = 24
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(documents(spark, sf_dir), PIECE_MODEL)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -35,6 +40,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_language": op3_language,
+    "op5_pieces": op5_pieces,
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,

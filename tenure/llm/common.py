@@ -35,3 +35,11 @@ def fold(doc_id: Column | str, folds: int) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``doc_id`` as text and the columns named, for a trip through pandas.
+
+    A whole number column with nulls would arrive there as floating point.
+    """
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), *columns)

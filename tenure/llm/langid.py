@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenure.llm.common import fold
+from tenure.llm.common import fold, keyed
 
 DIM = 1024
 N = 3
@@ -147,7 +147,7 @@ def _predictor(names: list[str], vectors: np.ndarray):
                 tags += [names[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)]
                 scores += [(1 + float(c)) / 2 if s else 0.0 for c, s in zip(cosine.max(axis=1), some, strict=True)]
             out = pd.DataFrame({"held_out": batch["held_out"], "lang_pred": tags, "score": np.clip(scores, 0.0, 1.0)})
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy(dtype=object))
+            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield out
 
     return predict
@@ -163,5 +163,6 @@ def identify(docs: DataFrame) -> DataFrame:
     """
     held = fold("doc_id", FOLDS) == HELD_OUT
     names, vectors = learn(docs.where(~held))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text")
-    return rows.mapInPandas(_predictor(names, vectors), "doc_id long, held_out boolean, lang_pred string, score double")
+    rows = keyed(docs.withColumn("held_out", held), "held_out", "text")
+    tagged = rows.mapInPandas(_predictor(names, vectors), "doc_id string, held_out boolean, lang_pred string, score double")
+    return tagged.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenure.llm.common import WORD, text_of
+from tenure.llm.common import WORD, keyed, text_of
 from tenure.operators.staging import staged
 
 #: Target words of a source are at most so many times its words.
@@ -134,7 +134,7 @@ def mix_sources(
     words has target 0. Repeated rows are separate documents; with ties in size the draw, then
     the id decides. An empty table gives an empty result; other columns are not used.
     """
-    sizes = staged(docs.select("doc_id", "source", words("text").alias("size")), "mix_sizes")
+    sizes = staged(keyed(docs.withColumn("size", words("text")), "source", "size"), "mix_sizes")
     targets = staged(source_targets(sizes, weights, most), "mix_targets")
     if targets.count() <= BROADCAST_SOURCES:
         targets = F.broadcast(targets)
@@ -148,7 +148,7 @@ def mix_sources(
     )
     copies = (F.col("whole") + F.col("share")).cast("long")
     return round_copies(wanted, seed).select(
-        "doc_id",
+        F.col("doc_id").cast("long").alias("doc_id"),
         "source",
         "size",
         "source_size",

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenure.llm.common import keyed
 from tenure.operators.staging import staged
 
 # The base rules.
@@ -27,7 +28,7 @@ MAX_REPEAT_PERCENT = 20
 _BLANKS = " \t\n\x0b\x0c\r"
 
 #: Labelled rows the list is learned from, at most: those with the smallest hash of their id.
-TRAIN_ROWS = 50_000
+TRAIN_ROWS = 20_000
 #: Thresholds tried per statistic, rules per list, conditions per rule, rows a rule must cover.
 THRESHOLDS, MOST_RULES, MOST_CONDITIONS, LEAST_COVER = 48, 12, 4, 5
 #: A rule must be right in this share of the rows that it covers in the pruning part.
@@ -36,7 +37,7 @@ LEAST_PRECISION = 0.8
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 RATIOS = ("word_length", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "digit_share", "mark_share", "variety")
 FEATURES = ("n_words", *RATIOS)
-STATS_SCHEMA = "doc_id long, " + ", ".join(f"{c} long" for c in BASE) + ", " + ", ".join(f"{c} double" for c in RATIOS)
+STATS_SCHEMA = "doc_id string, " + ", ".join(f"{c} long" for c in BASE) + ", " + ", ".join(f"{c} double" for c in RATIOS)
 
 
 def repeated_words(ids: np.ndarray, distinct: int, width: int = WINDOW) -> int:
@@ -101,13 +102,14 @@ def _stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = [text_stats(t) if isinstance(t, str) else text_stats("") for t in batch["text"]]
         out = pd.DataFrame(rows, columns=[*BASE, *RATIOS])
-        out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy(dtype=object))
+        out.insert(0, "doc_id", batch["doc_id"].to_numpy())
         yield out
 
 
 def document_stats(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts and the ratios of every whole text; null counts as empty."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_stats, STATS_SCHEMA)
+    stats = keyed(docs, "text").mapInPandas(_stats, STATS_SCHEMA)
+    return stats.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def base_failed() -> Column:

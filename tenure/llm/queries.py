@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import langid, mixing, pieces, quality, sharding, toxicity
+from tenure.llm import langid, mixing, pieces, quality, sharding, simhash, toxicity
 from tenure.llm.common import documents, labels
 
 SHARDS = 24
@@ -17,6 +17,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, sf_dir), [1.0] * SHARDS)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -39,6 +43,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_simhash": op2_simhash,
     "op3_language": op3_language,
     "op5_pieces": op5_pieces,
     "op8_toxicity": op8_toxicity,

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenure.llm.common import fold
+from tenure.llm.common import fold, keyed
 
 FOLDS, HELD_OUT = 5, 0
 #: Labelled texts of each class that the model is fitted on, at most: smallest hash of the id.
@@ -337,7 +337,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     columns are not used.
     """
     model = fit(docs, labels)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "text")
-    rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
+    rows = keyed(docs.withColumn("held_out", fold("doc_id", FOLDS) == HELD_OUT), "held_out", "text")
     scored = rows.mapInPandas(_scorer(model), "doc_id string, held_out boolean, score double, predicted int")
     return scored.withColumn("doc_id", F.col("doc_id").cast("long"))

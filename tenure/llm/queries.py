@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import langid, mixing, pieces, quality, sharding, simhash, toxicity
+from tenure.llm import langid, mixing, pieces, quality, sharding, simhash, toxicity, winnowing
 from tenure.llm.common import documents, labels
 
 SHARDS = 24
@@ -29,6 +29,10 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf_dir), PIECE_MODEL)
 
 
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.fingerprint_documents(documents(spark, sf_dir))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_language": op3_language,
     "op5_pieces": op5_pieces,
+    "op7_winnowing": op7_winnowing,
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,

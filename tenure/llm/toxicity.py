@@ -199,7 +199,8 @@ def _term_counts(wanted: frozenset[str] | None):
             for text in batch["text"]:
                 found = _terms(text)
                 seen.update(found if wanted is None else found & wanted)
-            yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
+            if seen:  # an empty column has no type
+                yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
 
     return count
 
@@ -217,7 +218,8 @@ def _forms(lexicon_terms: list[Term]):
         lexicon = Lexicon(lexicon_terms)
         for batch in batches:
             seen = Counter(w for text in batch["text"] for w in set(tokens(text)) if lexicon.hit(w)[1])
-            yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
+            if seen:  # an empty column has no type
+                yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
 
     return find
 

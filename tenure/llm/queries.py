@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import langid, mixing, pieces, quality, sharding, simhash, toxicity, winnowing
+from tenure.llm import langid, mixing, pieces, quality, repeats, sharding, simhash, toxicity, winnowing
 from tenure.llm.common import documents, labels
 
 SHARDS = 24
@@ -25,6 +25,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digest(documents(spark, sf_dir))
+
+
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf_dir), PIECE_MODEL)
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
     "op3_language": op3_language,
+    "op4_repeats": op4_repeats,
     "op5_pieces": op5_pieces,
     "op7_winnowing": op7_winnowing,
     "op8_toxicity": op8_toxicity,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import langid, mixing, pieces, quality, repeats, sharding, simhash, toxicity, winnowing
+from tenure.llm import langid, mixing, pieces, quality, repeats, sharding, simhash, toxicity, winnowing, wrappers
 from tenure.llm.common import documents, labels
 
 SHARDS = 24
@@ -33,6 +33,10 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf_dir), PIECE_MODEL)
 
 
+def op6_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.fingerprint_documents(documents(spark, sf_dir))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_repeats": op4_repeats,
     "op5_pieces": op5_pieces,
+    "op6_wrappers": op6_wrappers,
     "op7_winnowing": op7_winnowing,
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,

@@ -156,3 +156,18 @@ def mix_sources(
         copies.alias("copies"),
         (copies * F.col("size")).alias("taken"),
     )
+
+
+def copied(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = 42) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Documents of one id, source and size share their fate: the largest number of copies.
+    """
+    taken = mix_sources(docs, weights, most, seed).where("copies > 0")
+    fate = taken.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
+    fate = staged(fate.select(*[F.col(c).alias(f"_{c}") for c in fate.columns]), "mix_fate")
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (words("text") == F.col("_size"))
+    )
+    rows = docs.join(fate, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return rows.select(*docs.columns)

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenure.llm.bwt import repeated
@@ -307,6 +307,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carry: tuple[str, ...]
     return out.select(*back, "n_bytes", "n_removed", "cut", "kept")
 
 
+def readable(kept: str) -> Column:
+    """The bytes as text; what is left of a letter that was cut in two goes."""
+
+    def decode(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda b: b.decode("utf-8", "ignore") if b is not None else None)
+
+    return F.pandas_udf(decode, "string")(F.col(kept))
+
+
 def repeat_digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row; see ``remove_repeats``."""
     return remove_repeats(docs).select(

@@ -39,25 +39,35 @@ CHUNK = 1 << 14
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def fingerprint(text: str | None, width: int = SHINGLE) -> int:
-    """SimHash of the word shingles, repeats included; 0 without a word."""
+def shingle_hashes(text: str | None, width: int = SHINGLE) -> np.ndarray:
+    """XXH64 of each word shingle, repeats included; of all words where there are fewer."""
     words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if isinstance(text, str) else []
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= width:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: len(words) - width + 1].tolist()
-    ends = ends[width - 1 :].tolist()
     digest = partial(xxhash.xxh64_intdigest, seed=SEED)
-    count, total = np.zeros(64, np.int64), len(starts)
-    for k in range(0, total, CHUNK):
-        part = [digest(joined[a:b]) for a, b in zip(starts[k : k + CHUNK], ends[k : k + CHUNK], strict=True)]
-        bits = np.unpackbits(np.array(part, "<u8").view(np.uint8), bitorder="little").reshape(-1, 64)
-        count += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * count > total, bitorder="little").view("<u8")[0])
+    found = (digest(joined[a:b]) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True))
+    return np.fromiter(found, np.uint64, len(starts))
+
+
+def bits_of(hashes: np.ndarray) -> int:
+    """Each bit that is set in over half of the hashes."""
+    count = np.zeros(64, np.int64)
+    for k in range(0, len(hashes), CHUNK):
+        part = hashes[k : k + CHUNK].astype("<u8").view(np.uint8)
+        count += np.unpackbits(part, bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * count > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str | None, width: int = SHINGLE) -> int:
+    """SimHash of the word shingles, repeats included; 0 without a word."""
+    hashes = shingle_hashes(text, width)
+    return bits_of(hashes) if len(hashes) else 0
 
 
 def _fingerprints(width: int):

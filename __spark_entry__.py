@@ -83,7 +83,7 @@ class Tables:
 
     @cached_property
     def loaded(self) -> clean.Outcome:
-        return load.load_subscriptions(self.standard_subscriptions, self.customers)
+        return load.load_subscriptions(self.standard_subscriptions, self.customers, lines=False)
 
     @cached_property
     def valid(self) -> DataFrame:
@@ -121,9 +121,16 @@ def _silver_subscriptions(t: Tables) -> DataFrame:
     return _prices_as_double(cleaned.rows)
 
 
+def _silver_standalone(t: Tables) -> DataFrame:
+    """Cleaned against the raw customer table: every id it names is known."""
+    reference = staged(clean.customer_reference(t.bronze_customers), "bronze_reference")
+    cleaned = clean.clean_subscriptions(t.bronze_subscriptions, reference=reference, policy="lenient")
+    return _prices_as_double(cleaned.rows)
+
+
 def _report_warnings(t: Tables) -> DataFrame:
     return findings.union_all(
-        [load.load_customers(t.customers).warnings, t.loaded.warnings, load.overlap_warnings(t.staged_valid)]
+        [load.load_customers(t.customers, lines=False).warnings, t.loaded.warnings, load.overlap_warnings(t.staged_valid)]
     )
 
 
@@ -136,11 +143,11 @@ def _dq_warnings(t: Tables) -> DataFrame:
 def _raw_loaded(t: Tables) -> clean.Outcome:
     """Subscriptions loaded straight from bronze, with line numbers in the messages."""
     known = staged(load.load_customers(t.bronze_customers).rows, "loaded_customers")
-    return load.load_subscriptions(load.number_lines(t.bronze_subscriptions), known)
+    return load.load_subscriptions(t.bronze_subscriptions, known)
 
 
 def _raw_loaded_customers(t: Tables) -> clean.Outcome:
-    return load.load_customers(load.number_lines(t.bronze_customers))
+    return load.load_customers(t.bronze_customers)
 
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -196,13 +203,15 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "null_profile": lambda t: explore.null_profile(t.known.drop("row_id")),
     "repair_date_ranges": lambda t: t.repaired.select("row_id", "customer_id", "start_date", "end_date", "repaired"),
     "dq_examples": lambda t: findings.examples(
-        findings.findings(t.stated, clean.STAGE_SUBSCRIPTIONS, clean.subscription_rules(lenient=True)), 5
+        findings.findings(t.stated, clean.STAGE_SUBSCRIPTIONS, clean.subscription_rules(lenient=True)), 5, 10
     ).select("rule_id", "rank", "row_id", "customer_id", "detail"),
     "dq_warnings": _dq_warnings,
+    "report_messages": lambda t: report.report_messages(_report_warnings(t)),
     "first_warnings": lambda t: report.first_warnings(_report_warnings(t)),
     # pipelines
     "silver_customers": lambda t: t.cleaned_customers.rows,
     "silver_subscriptions": _silver_subscriptions,
+    "silver_subscriptions_standalone": _silver_standalone,
     "load_customers": lambda t: _raw_loaded_customers(t).rows,
     "load_customers_warnings": lambda t: _raw_loaded_customers(t).warnings,
     "load_subscriptions": lambda t: _prices_as_double(_raw_loaded(t).rows),

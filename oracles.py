@@ -16,15 +16,16 @@ _NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _strip(column: str) -> str:
-    return rf"regexp_replace({column}, '^\s+|\s+$', '', 'g')"
+    return rf"regexp_replace({column}, '^[\s\x{{2028}}]+|[\s\x{{2028}}]+$', '', 'g')"
 
 
 def _date(text: str) -> str:
-    return f"CAST(try_strptime({text}, '%Y-%m-%d') AS DATE)"
+    day = f"CAST(try_strptime({text}, '%Y-%m-%d') AS DATE)"
+    return f"CASE WHEN {day} BETWEEN DATE '1677-09-22' AND DATE '2262-04-11' THEN {day} END"
 
 
 def _price(text: str) -> str:
-    return f"CASE WHEN regexp_matches({text}, '{_NUMBER}') THEN TRY_CAST({text} AS DECIMAL(18,6)) END"
+    return f"CASE WHEN regexp_matches({text}, '{_NUMBER}') THEN TRY_CAST({text} AS DECIMAL(28,6)) END"
 
 
 _BASE = f"""
@@ -39,9 +40,9 @@ cust AS (
 first_c AS (
   SELECT * FROM cust QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY row_id) = 1),
 silver_c AS (
-  SELECT row_id, customer_id, signup_date, country FROM first_c WHERE signup_date IS NOT NULL),
+  SELECT row_id, customer_id, signup_date, country FROM first_c WHERE signup_date IS NOT NULL AND customer_id IS NOT NULL),
 removed_c AS (
-  SELECT customer_id, signup_date_raw FROM first_c WHERE signup_date IS NULL),
+  SELECT customer_id, signup_date_raw FROM first_c WHERE signup_date IS NULL AND customer_id IS NOT NULL),
 text_s AS (
   SELECT row_id, nullif({_strip('customer_id')}, '') AS customer_id,
          nullif({_strip('start_date')}, '') AS start_date_raw,
@@ -258,9 +259,9 @@ _QUERIES: dict[str, str] = {
             _count("empty_customer_id", "fatal", "customer_id IS NULL", "cust"),
             """SELECT 'duplicate_customer_id', 'dropped', count(*) - count(DISTINCT customer_id)
                FROM cust WHERE customer_id IS NOT NULL""",
-            _count("empty_signup_date", "dropped", "signup_date_raw IS NULL", "first_c"),
-            _count("malformed_signup_date", "dropped", "signup_date_raw IS NOT NULL AND signup_date IS NULL", "first_c"),
-            _count("missing_country", "monitor", "signup_date IS NOT NULL AND country IS NULL", "first_c"),
+            _count("empty_signup_date", "dropped", "signup_date_raw IS NULL AND customer_id IS NOT NULL", "first_c"),
+            _count("malformed_signup_date", "dropped", "signup_date_raw IS NOT NULL AND signup_date IS NULL AND customer_id IS NOT NULL", "first_c"),
+            _count("missing_country", "monitor", "signup_date IS NOT NULL AND country IS NULL AND customer_id IS NOT NULL", "first_c"),
         ]
     ),
     "customers_dedup": "SELECT row_id, customer_id, signup_date_raw, country FROM first_c",
@@ -279,6 +280,7 @@ _QUERIES: dict[str, str] = {
             _count("malformed_start_date", "fatal", "start_date_raw IS NOT NULL AND start_date IS NULL", "known"),
             _count("malformed_end_date", "repaired", "end_date_raw IS NOT NULL AND end_date IS NULL", "known"),
             _count("non_numeric_price", "fatal", "monthly_price IS NULL", "known"),
+            _count("price_out_of_range", "fatal", "false", "known"),
             _count("end_before_start", "fatal", "end_date < start_date", "known"),
             _count("start_before_signup", "fatal", "start_date < signup_date", "known"),
         ]
@@ -297,21 +299,23 @@ _QUERIES: dict[str, str] = {
     ),
     "repair_date_ranges": "SELECT row_id, customer_id, start_date, end_date, repaired FROM repaired",
     "dq_examples": """SELECT rule_id, CAST(rank AS INTEGER) AS rank, row_id, customer_id, detail FROM (
-        SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY row_id) AS rank FROM rule_hits) WHERE rank <= 5""",
+        SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY row_id) AS rank FROM rule_hits)
+        WHERE rank <= CASE WHEN rule_id = 'unknown_customer' THEN 10 ELSE 5 END""",
     "dq_warnings": """
+        WITH named AS (SELECT * FROM first_c WHERE customer_id IS NOT NULL UNION ALL SELECT * FROM cust WHERE customer_id IS NULL)
         SELECT 'clean_customers' AS stage, 'empty_customer_id' AS rule_id, 'fatal' AS severity, row_id, customer_id,
-               NULL AS detail, 'customer_id is empty' AS message FROM first_c WHERE customer_id IS NULL
+               NULL AS detail, 'customer_id is empty' AS message FROM named WHERE customer_id IS NULL
         UNION ALL SELECT 'clean_customers', 'empty_signup_date', 'dropped', row_id, customer_id, signup_date_raw,
-               'signup_date is empty - customer removed' FROM first_c WHERE signup_date_raw IS NULL
+               'signup_date is empty - customer removed' FROM named WHERE signup_date_raw IS NULL
         UNION ALL SELECT 'clean_customers', 'malformed_signup_date', 'dropped', row_id, customer_id, signup_date_raw,
                'signup_date ''' || signup_date_raw || ''' is not a date - customer removed'
-               FROM first_c WHERE signup_date_raw IS NOT NULL AND signup_date IS NULL
+               FROM named WHERE signup_date_raw IS NOT NULL AND signup_date IS NULL
         UNION ALL SELECT 'clean_customers', 'missing_country', 'monitor', row_id, customer_id, NULL,
                'Customer ''' || customer_id || ''' has missing country - keeping record'
-               FROM first_c WHERE signup_date IS NOT NULL AND country IS NULL
+               FROM named WHERE signup_date IS NOT NULL AND country IS NULL
         UNION ALL SELECT 'clean_customers', 'duplicate_customer_id', 'dropped', row_id, customer_id, signup_date_raw,
                'customer_id ''' || customer_id || ''' occurs again - first row kept'
-               FROM cust WHERE row_id NOT IN (SELECT row_id FROM first_c)
+               FROM cust WHERE customer_id IS NOT NULL AND row_id NOT IN (SELECT row_id FROM first_c)
         UNION ALL SELECT 'clean_subscriptions', rule_id, severity, row_id, customer_id, detail, message FROM rule_hits
         UNION ALL SELECT 'clean_subscriptions', 'overlap', 'monitor', row_id, customer_id, CAST(current_start AS VARCHAR),
                'Customer ''' || customer_id || ''' has overlapping subscriptions: ' || CAST(previous_start AS VARCHAR) || ' to '
@@ -322,10 +326,17 @@ _QUERIES: dict[str, str] = {
         UNION ALL SELECT 'clean_subscriptions', 'plan_price_spread', 'monitor', NULL, NULL, plan,
                printf('plan ''%s'' has %d distinct prices (%.2f to %.2f)', plan, distinct_prices, min_price, max_price) FROM spread
         UNION ALL SELECT * FROM overlap_findings""",
-    "first_warnings": """SELECT * FROM load_findings ORDER BY
+    "report_messages": """SELECT row_number() OVER (ORDER BY
+        CASE stage WHEN 'load_customers' THEN 1 WHEN 'load_subscriptions' THEN 2 ELSE 3 END,
+        CASE WHEN stage = 'overlaps' THEN customer_id ELSE '' END, row_id, rule_id, message) - 1 AS position, message
+        FROM load_findings""",
+    "first_warnings": """SELECT *, (SELECT greatest(count(*) - 10, 0) FROM load_findings) AS more FROM load_findings ORDER BY
         CASE stage WHEN 'load_customers' THEN 1 WHEN 'load_subscriptions' THEN 2 ELSE 3 END,
         CASE WHEN stage = 'overlaps' THEN customer_id ELSE '' END, row_id, rule_id LIMIT 10""",
     "silver_customers": "SELECT * FROM silver_c",
+    "silver_subscriptions_standalone": """SELECT s.row_id, s.customer_id, start_date, end_date, end_date_raw, end_date_malformed, plan,
+        CAST(monthly_price AS DOUBLE) AS monthly_price FROM subs s JOIN first_c f ON f.customer_id = s.customer_id
+        WHERE start_date IS NOT NULL AND monthly_price IS NOT NULL AND (end_date IS NULL OR end_date >= start_date)""",
     "silver_subscriptions": """SELECT row_id, customer_id, start_date, end_date, end_date_raw, end_date_malformed, plan,
         CAST(monthly_price AS DOUBLE) AS monthly_price FROM known
         WHERE start_date IS NOT NULL AND monthly_price IS NOT NULL AND (end_date IS NULL OR end_date >= start_date)""",

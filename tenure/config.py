@@ -8,6 +8,8 @@ from dataclasses import dataclass
 DATE_FORMATS = ("yyyy-MM-dd",)
 PLAN_CORRECTIONS = (("baisc", "basic"),)
 PRICE_CORRECTIONS = (("thirty", "30"),)
+# Days outside this range are malformed: the days that nanosecond time stamps can hold.
+FIRST_DAY, LAST_DAY = "1677-09-22", "2262-04-11"
 GRACE_DAYS = 30
 RETENTION_MONTHS = 3
 IQR_FACTOR = 1.5
@@ -27,8 +29,8 @@ class Settings:
     """Formats, corrections and thresholds.
 
     ``hot_rows`` is the group size from which one customer's history is split over
-    several tasks (see ``operators.ordered``). ``report_warnings`` is the largest number
-    of warnings embedded in the report document; more than that stay in their own table.
+    several tasks (see ``operators.ordered``). ``severities`` overrides the severity of rules
+    by their id, as (rule_id, severity) pairs.
     """
 
     date_formats: tuple[str, ...] = DATE_FORMATS
@@ -44,7 +46,7 @@ class Settings:
     warnings_shown: int = WARNINGS_SHOWN
     tiny_cohort: int = TINY_COHORT
     hot_rows: int = 1 << 20
-    report_warnings: int = 10_000
+    severities: tuple[tuple[str, str], ...] = ()
 
 
 DEFAULTS = Settings()

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tenure.config import FIRST_DAY, LAST_DAY
 from tenure.schemas import PRICE
 
 # The characters that count as padding (every Unicode white space character
@@ -25,7 +26,7 @@ def _col(c: Column | str) -> Column:
 
 
 # Text of printable ASCII without blanks: nothing to strip.
-_COMPACT = "^[\\x21-\\x7e]+$"
+_COMPACT = "^[\\x21-\\x7e]+\\z"  # $ would also match before a last line break
 
 
 def strip(c: Column | str) -> Column:
@@ -62,8 +63,8 @@ def correct(c: Column | str, corrections: Iterable[tuple[str, str]]) -> Column:
 ISO_FORMAT = "yyyy-MM-dd"
 _DAY = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
 _PADDING = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE) + "]*"
-_COMPACT_DAY = f"^{_DAY}$"
-_PADDED_DAY = f"^{_PADDING}({_DAY}){_PADDING}$"
+_COMPACT_DAY = f"^{_DAY}\\z"
+_PADDED_DAY = f"^{_PADDING}({_DAY}){_PADDING}\\z"
 
 
 def _iso_day(c: Column) -> Column:
@@ -73,16 +74,21 @@ def _iso_day(c: Column) -> Column:
 
 
 def parse_date(c: Column | str, formats: Iterable[str]) -> Column:
-    """First format that fits the stripped text, else null (never raises).
+    """First format that fits the stripped text with a day in range, else null (never raises).
 
     ISO days are matched and cast, which is about three times as fast as parsing with a
     format, and a bad text costs no Java exception.
     """
     c = _col(c)
-    parsers = [_iso_day(c) if fmt == ISO_FORMAT else F.try_to_date(strip(c), fmt) for fmt in formats]
+    parsers = [in_range(_iso_day(c) if fmt == ISO_FORMAT else F.try_to_date(strip(c), fmt)) for fmt in formats]
     return parsers[0] if len(parsers) == 1 else F.coalesce(*parsers)
 
 
+def in_range(day: Column) -> Column:
+    """The day, null outside the days that count as dates; so the far future is free as a mark."""
+    return F.when(day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), day)
+
+
 def _is_number(text: str) -> bool:
     try:
         float(text)
@@ -92,7 +98,7 @@ def _is_number(text: str) -> bool:
 
 
 def parse_price(c: Column | str, corrections: Iterable[tuple[str, str]] = ()) -> Column:
-    """Decimal of the stripped, corrected text, or null.
+    """Decimal of the stripped, corrected text, or null (see also price_out_of_range).
 
     The decimal cast rejects ``30d``, ``nan`` and ``inf`` by itself and ignores blanks, so
     most values need the cast only; the rest is stripped and corrected.
@@ -105,6 +111,20 @@ def parse_price(c: Column | str, corrections: Iterable[tuple[str, str]] = ()) ->
     return F.coalesce(c.try_cast(PRICE), slow)
 
 
+_NUMBER = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\\z"
+
+
+def price_out_of_range(c: Column | str, corrections: Iterable[tuple[str, str]] = ()) -> Column:
+    """A number too large for the price type: not wrong, but nothing to compute with."""
+    text = correct(strip(_col(c)), list(corrections))
+    return F.coalesce(text.rlike(_NUMBER) & text.try_cast(PRICE).isNull(), F.lit(False))
+
+
+def stop_at_price(c: Column | str) -> Column:
+    """Of the price type, but raises: a price that is too large must not vanish from a sum."""
+    return F.raise_error(F.format_string("price_out_of_range: monthly_price '%s' is too large", _col(c))).cast(PRICE)
+
+
 def country_code(c: Column | str) -> Column:
     return blank_to_null(F.upper(strip(c)))
 
@@ -144,11 +164,6 @@ def is_active(end: Column | str) -> Column:
     return _col(end).isNull()
 
 
-def covers(start: Column | str, end: Column | str, day: Column) -> Column:
-    """Is ``day`` inside the closed interval; a null end is open."""
-    return (_col(start) <= day) & (open_end(end) >= day)
-
-
 def money(c: Column) -> Column:
     return F.round(c, 2).cast("double")
 

@@ -73,6 +73,12 @@ def findings(rows: DataFrame, stage: str, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+def with_severities(rules: Sequence[Rule], severities: Sequence[tuple[str, str]]) -> list[Rule]:
+    """The rules with the severities that the settings give them."""
+    given = dict(severities)
+    return [r._replace(severity=given.get(r.rule_id, r.severity)) for r in rules]
+
+
 def counters(rules: Sequence[Rule]) -> list[Column]:
     return [F.count_if(r.hit).alias(r.rule_id) for r in rules]
 
@@ -86,14 +92,17 @@ def as_rows(one_row: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return one_row.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
 
 
-def examples(warnings: DataFrame, count: int) -> DataFrame:
-    """The first ``count`` findings per rule by row id, with their rank.
+def examples(warnings: DataFrame, count: int, unknown: int | None = None) -> DataFrame:
+    """The first ``count`` findings per rule by row id, with their rank; ``unknown`` for unknown ids.
 
     The rank filter is applied per map task before the shuffle, so a rule that hits a third
     of all rows sends ``count`` rows per task, not all of them.
     """
     w = Window.partitionBy("stage", "rule_id").orderBy("row_id")
-    return warnings.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= count)
+    most = F.when(F.col("rule_id") == "unknown_customer", unknown or count).otherwise(count)
+    ranked = warnings.withColumn("rank", F.row_number().over(w))
+    # The plain bound is what reaches the map side.
+    return ranked.where(F.col("rank") <= max(count, unknown or 0)).where(F.col("rank") <= most)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -4,15 +4,17 @@ A window over ``partitionBy(key)`` puts a whole key into one task. Here rows are
 by (day, row_id) within a key, and keys are treated by size:
 
 * A key of ordinary size is one window group: one shuffle, as usual.
-* A hot key is cut into cells (day, block of 2**20 consecutive row ids). A cell has at most
-  2**20 rows because row ids are unique. Cells are combined in two further steps: the
-  blocks of one day (at most total rows / 2**20 of them), then the days of one key (bounded
-  by the calendar). No step sees an unbounded group, and no row is dropped.
-
-Which keys are hot comes from a count per key, which Spark pre-aggregates on the map side.
-A key is hot above ``max(hot_rows, total / MAX_HOT_KEYS)`` rows, so there are always fewer
-than MAX_HOT_KEYS of them: that is the size bound of the only broadcast. Without hot keys
-the adaptive planner sees an empty broadcast and removes the extra steps.
+* A hot key is cut into cells (day, block of 2**20 rows that follow each other by row id
+  among the rows of hot keys). Blocks go by rank, not by the id's bits, so a cell has at most
+  2**20 rows whatever the ids look like. Cells are combined in two further steps: the blocks
+  of one day (at most hot rows / 2**20 of them), then the days of one key (bounded by the
+  calendar). No step sees an unbounded group, and no row is dropped.
+
+Which keys are hot comes from a count per key, which Spark pre-aggregates on the map side and
+which is written once. A key is hot above ``max(hot_rows, total / MAX_HOT_KEYS)`` rows, so there
+are always fewer than MAX_HOT_KEYS of them: that is the size bound of the broadcast (a key may
+thus have a 65,536th of all rows and still be one group). Without hot keys, the usual case, the
+plan is the plain window.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenure.operators.staging import staged
+
 MAX_HOT_KEYS = 1 << 16
 BLOCK_BITS = 20
 
@@ -34,19 +38,19 @@ def hot_keys(rows: DataFrame, key: str, hot_rows: int) -> DataFrame:
     return sizes.where(F.col("_n") > limit).select(key)
 
 
-def _with_cells(rows: DataFrame, key: str, day: str, row_id: str, hot: DataFrame, block_bits: int):
+def _with_cells(rows: DataFrame, key: str, row_id: str, day: str, hot: DataFrame, block_bits: int):
     """(all rows with their cell, null for ordinary keys; the rows of hot keys only)."""
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    day_of, block_of = F.col(day), F.shiftright(F.col(row_id), block_bits)
-    every = rows.join(hot, key, "left").select(
-        *rows.columns,
-        F.when(F.col("_hot"), day_of).alias("_day"),
-        F.when(F.col("_hot"), block_of).alias("_block"),
+    hot = F.broadcast(hot)
+    hot_only = (
+        positions(rows.join(hot, key), row_id, "_rank")
+        .withColumn("_day", F.col(day))
+        .withColumn("_block", F.shiftright("_rank", block_bits))
+        .drop("_rank")
     )
-    hot_only = rows.join(hot, key, "inner").select(
-        *rows.columns, day_of.alias("_day"), block_of.alias("_block")
+    ordinary = rows.join(hot, key, "left_anti").select(
+        *rows.columns, F.lit(None).cast(rows.schema[day].dataType).alias("_day"), F.lit(None).cast("long").alias("_block")
     )
-    return every, hot_only
+    return ordinary.unionByName(hot_only), hot_only
 
 
 def _from_other_cells(hot_only: DataFrame, key: str, value: Column, fold, forward: bool) -> DataFrame:
@@ -85,7 +89,10 @@ def next_in_order(
 
     ``value`` must start with (day, row_id), so that the smallest later value is the next row.
     """
-    every, hot_only = _with_cells(rows, key, day, row_id, hot_keys(rows, key, hot_rows), block_bits)
+    hot = staged(hot_keys(rows, key, hot_rows), "hot_keys")
+    if hot.isEmpty():
+        return rows.withColumn(name, F.lead(value).over(Window.partitionBy(key).orderBy(day, row_id)))
+    every, hot_only = _with_cells(rows, key, row_id, day, hot, block_bits)
     w = Window.partitionBy(key, *_CELL).orderBy(day, row_id)
     local = every.repartition(key, *_CELL).withColumn("_local", F.lead(value).over(w))
     carry = _from_other_cells(hot_only, key, value, F.min, forward=False)
@@ -105,12 +112,13 @@ def greatest_before(
     block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """Add ``name``: the greatest ``value`` over all earlier rows of the same key."""
-    every, hot_only = _with_cells(rows, key, day, row_id, hot_keys(rows, key, hot_rows), block_bits)
-    w = (
-        Window.partitionBy(key, *_CELL)
-        .orderBy(day, row_id)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    hot = staged(hot_keys(rows, key, hot_rows), "hot_keys")
+    earlier = (Window.unboundedPreceding, -1)
+    if hot.isEmpty():
+        w = Window.partitionBy(key).orderBy(day, row_id).rowsBetween(*earlier)
+        return rows.withColumn(name, F.max(value).over(w))
+    every, hot_only = _with_cells(rows, key, row_id, day, hot, block_bits)
+    w = Window.partitionBy(key, *_CELL).orderBy(day, row_id).rowsBetween(*earlier)
     local = every.repartition(key, *_CELL).withColumn("_local", F.max(value).over(w))
     carry = _from_other_cells(hot_only, key, value, F.max, forward=True)
     return local.join(carry, [key, *_CELL], "left").select(
@@ -128,19 +136,22 @@ def first_per_key(rows: DataFrame, key: str, row_id: str) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def positions(rows: DataFrame, row_id: str, name: str, block_bits: int = BLOCK_BITS) -> DataFrame:
-    """Add ``name``: the 0-based position of each row by ``row_id`` over the whole table.
+def positions(rows: DataFrame, order: str | list[str], name: str) -> DataFrame:
+    """Add ``name``: the 0-based position of each row in ``order`` over the whole table.
 
-    Row ids are numbered inside blocks of 2**block_bits ids; only the block counts are
-    summed in one place (total rows / 2**block_bits small rows).
+    A sort by range gives each task a run of the order, whatever the values look like; the
+    result is written. Only the start of each run is gathered: one row per shuffle partition.
     """
-    blocked = rows.withColumn("_block", F.shiftright(row_id, block_bits))
-    sizes = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    w = Window.partitionBy("_block").orderBy(row_id)
-    return (
-        blocked.withColumn("_rn", F.row_number().over(w))
-        .join(offsets, "_block")
-        .select(*rows.columns, (F.col("_offset") + F.col("_rn") - 1).alias(name))
+    columns = [order] if isinstance(order, str) else order
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = staged(
+        rows.repartitionByRange(tasks, *columns)
+        .sortWithinPartitions(*columns)
+        .withColumn("_place", F.monotonically_increasing_id())
+        .withColumn("_run", F.shiftright("_place", 33)),
+        "positions",
     )
+    runs = placed.groupBy("_run").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = runs.select("_run", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return placed.join(F.broadcast(shifts), "_run").select(*rows.columns, (F.col("_place") + F.col("_shift")).alias(name))

@@ -7,15 +7,21 @@ values, not on rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenure.operators.staging import staged
+
 QUARTILES = (0.25, 0.5, 0.75)
 
 _DIGIT_BITS = 20
 _DIGIT_MASK = (1 << _DIGIT_BITS) - 1
 _SCALE = 1_000_000
+#: A price is split into two 64-bit integers: trillions, and millionths of the rest.
+_TRILLION = Decimal(10**12)
+_DIGITS = ("_d0", "_d1", "_d2", "_d3", "_d4")
 
 
 def value_counts(rows: DataFrame, by: Sequence[str], value: Column, name: str = "value") -> DataFrame:
@@ -29,27 +35,35 @@ def value_counts(rows: DataFrame, by: Sequence[str], value: Column, name: str =
 
 
 def exact_quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Linear-interpolated quantiles of DECIMAL(18,6) values: (by..., size, q_<i> double).
-
-    ``counts`` is (by..., value, n). A decimal of that type is a 60-bit integer of
-    millionths, read as three digits of 20 bits. The order statistic is found digit by
-    digit: sum counts per digit, locate the digit that holds the wanted rank, go on inside
-    it. A window group never holds more than 2**20 rows, whatever the number of distinct
-    values, and the result is exact.
+    """Linear-interpolated quantiles of DECIMAL(28,6) values: (by..., size, q_<i> double).
+
+    ``counts`` is (by..., value, n). A value is read as trillions (two digits of 20 bits) and
+    millionths of the rest (three digits), in the order of the values. The order statistic is
+    found digit by digit: sum counts per digit, locate the digit that holds the wanted rank, go
+    on inside it. Digits that are the same in all values are known beforehand and skipped. A
+    window group never holds more than 2**20 rows, whatever the number of distinct values, and
+    the result is exact. The counts are written once, since every digit reads them.
     """
     by = list(by) or ["_all"]
     if by == ["_all"]:
         # Always 0, but not a literal: joins on it stay equi-joins.
         counts = counts.withColumn("_all", F.pmod("n", F.lit(1)))
-    millionths = (F.col("value") * _SCALE).cast("long")
-    digits = counts.select(
-        *by,
-        F.shiftright(millionths, 2 * _DIGIT_BITS).alias("_d0"),
-        F.shiftright(millionths, _DIGIT_BITS).bitwiseAND(_DIGIT_MASK).alias("_d1"),
-        millionths.bitwiseAND(_DIGIT_MASK).alias("_d2"),
-        "n",
+    high, low_part = F.expr(f"value div {_TRILLION}"), ((F.col("value") % F.lit(_TRILLION)) * _SCALE).cast("long")
+    digits = staged(
+        counts.select(
+            *by,
+            F.shiftright(high, _DIGIT_BITS).alias("_d0"),
+            high.bitwiseAND(_DIGIT_MASK).alias("_d1"),
+            F.shiftright(low_part, 2 * _DIGIT_BITS).alias("_d2"),
+            F.shiftright(low_part, _DIGIT_BITS).bitwiseAND(_DIGIT_MASK).alias("_d3"),
+            low_part.bitwiseAND(_DIGIT_MASK).alias("_d4"),
+            "n",
+        ),
+        "value_counts",
     )
-    size = counts.groupBy(*by).agg(F.sum("n").alias("_size"))
+    edges = digits.agg(*[F.min(d).alias(f"lo{d}") for d in _DIGITS], *[F.max(d).alias(f"hi{d}") for d in _DIGITS]).first()
+    same = {d: edges[f"lo{d}"] for d in _DIGITS if edges[f"lo{d}"] == edges[f"hi{d}"]}
+    size = digits.groupBy(*by).agg(F.sum("n").alias("_size"))
     wanted = []
     for i, p in enumerate(probs):
         exact = F.lit(float(p)) * (F.col("_size") - 1)
@@ -63,7 +77,7 @@ def exact_quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]
     state = size.select(*by, "_size", F.explode(F.array(*wanted)).alias("_w")).select(*by, "_size", "_w.*")
 
     prefix: list[str] = []
-    for digit in ("_d0", "_d1", "_d2"):
+    for digit in [d for d in _DIGITS if d not in same]:
         cells = digits.groupBy(*by, *prefix, digit).agg(F.sum("n").alias("_n"))
         w = Window.partitionBy(*by, *prefix).orderBy(digit)
         upto = cells.withColumn("_upto", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -75,8 +89,11 @@ def exact_quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]
         )
         prefix.append(digit)
 
-    found = F.shiftleft("_d0", 2 * _DIGIT_BITS) + F.shiftleft("_d1", _DIGIT_BITS) + F.col("_d2")
-    found = found.cast("double") / _SCALE
+    d = [F.lit(same[name]).cast("long") if name in same else F.col(name) for name in _DIGITS]
+    trillions = F.shiftleft(d[0], _DIGIT_BITS) + d[1]
+    rest = F.shiftleft(d[2], 2 * _DIGIT_BITS) + F.shiftleft(d[3], _DIGIT_BITS) + d[4]
+    found = trillions.cast("decimal(12,0)") * F.lit(_TRILLION) + rest.cast("decimal(19,0)") * F.lit(Decimal("0.000001"))
+    found = found.cast("double")
 
     def side(i: int, name: str) -> Column:
         return F.max(F.when((F.col("_q") == i) & (F.col("_side") == name), found))
@@ -95,7 +112,7 @@ def exact_quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]
 
 
 def describe(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max of a DECIMAL(18,6) column."""
+    """count, mean, sample std, min, quartiles and max of a DECIMAL(28,6) column."""
     by = list(by)
     present = rows.where(F.col(value).isNotNull()).select(*by, value)
     for column in by:

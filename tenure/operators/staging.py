@@ -9,6 +9,9 @@ of a written table does.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +19,8 @@ from tenure.errors import DataQualityError
 
 SHARED_FOLDER = "spark.checkpoint.dir"
 
+_ROOT: ContextVar[str | None] = ContextVar("staging_root", default=None)
+
 
 def staging_folder(spark: SparkSession) -> str:
     """The shared folder named by the session; a local master may use its warehouse."""
@@ -28,6 +33,19 @@ def staging_folder(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir')}/staging"
 
 
+@contextmanager
+def staging_root(spark: SparkSession) -> Iterator[str]:
+    """One folder for all that is staged inside; it is removed at the end, also after an error."""
+    root = f"{staging_folder(spark)}/tenure-{uuid.uuid4().hex}"
+    token = _ROOT.set(root)
+    try:
+        yield root
+    finally:
+        _ROOT.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and return a scan of it.
 
@@ -35,6 +53,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     later steps read only the columns they need.
     """
     spark = df.sparkSession
-    path = f"{staging_folder(spark)}/tenure/{name}-{uuid.uuid4().hex}"
+    root = _ROOT.get() or f"{staging_folder(spark)}/tenure"
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -26,6 +26,7 @@ from tenure.operators.sequences import overlaps_running_max
 from tenure.operators.staging import staged
 from tenure.schemas import SUBSCRIPTION_COLUMNS, require_columns
 
+OUT_OF_RANGE = "price_out_of_range"
 STAGE_CUSTOMERS = "clean_customers"
 STAGE_SUBSCRIPTIONS = "clean_subscriptions"
 
@@ -33,9 +34,17 @@ STAGE_SUBSCRIPTIONS = "clean_subscriptions"
 class Outcome:
     """Cleaned rows; the findings are planned only when somebody asks for them."""
 
-    def __init__(self, rows: DataFrame, warnings: Callable[[], DataFrame], removed: DataFrame | None = None):
+    def __init__(
+        self,
+        rows: DataFrame,
+        warnings: Callable[[], DataFrame],
+        removed: DataFrame | None = None,
+        stated: DataFrame | None = None,
+    ):
         self.rows = rows
         self.removed = removed
+        #: Subscriptions with the state of their customer, before any is left out.
+        self.stated = stated
         self._plan_warnings = warnings
 
     @cached_property
@@ -63,14 +72,14 @@ def _check_policy(policy: str) -> None:
 def _gate(table: str, hits: dict[str, int], warnings: DataFrame, settings: Settings) -> None:
     """Raise with every fatal rule that was hit; example rows are fetched only then."""
     hits = {rule: n for rule, n in hits.items() if n}
-    shown = Q.examples(warnings.where(F.col("rule_id").isin(*hits)), settings.examples)
+    shown = Q.examples(warnings.where(F.col("rule_id").isin(*hits)), settings.examples, settings.unknown_examples)
     by_rule: dict[str, list[str]] = {}
-    for row in shown.orderBy("rule_id", "rank").collect():  # at most `examples` per rule
+    for row in shown.orderBy("rule_id", "rank").collect():  # a few per rule
         by_rule.setdefault(row["rule_id"], []).append(f"{row['customer_id']}: {row['detail']}")
     lines = [
         f"{rule}: {n} rows, for example {by_rule.get(rule, [])}" for rule, n in hits.items()
     ]
-    raise DataQualityError(f"Data quality validation failed for {table}:\n" + "\n".join(lines))
+    raise DataQualityError(f"Fatal findings in table {table}:\n" + "\n".join(lines))
 
 
 # --- customers -----------------------------------------------------------------------
@@ -124,7 +133,7 @@ def customer_rules(settings: Settings = DEFAULTS, has_country: bool = True) -> l
                 Q.text("missing_country", F.col("customer_id")),
             )
         )
-    return rules
+    return Q.with_severities(rules, settings.severities)
 
 
 def duplicate_customers(standard: DataFrame) -> DataFrame:
@@ -232,6 +241,7 @@ def standardise_subscriptions(bronze: DataFrame, settings: Settings = DEFAULTS)
             "end_date_malformed": end_raw.isNotNull() & made("end_date").isNull(),
             "plan": S.correct(cleaned_text("plan", settings), settings.plan_corrections),
             "monthly_price_raw": S.correct(shown_text("monthly_price", settings), settings.price_corrections),
+            "price_out_of_range": made("monthly_price").isNull() & S.price_out_of_range(raw_price, settings.price_corrections),
         },
     )
 
@@ -275,14 +285,18 @@ def with_customer_state(
     return subs.join(lookup, "customer_id", "left").withColumn("customer_state", state).drop("_out")
 
 
-def subscription_rules(null_end: bool = False, lenient: bool = False) -> list[Q.Rule]:
-    """The rule catalogue over standardised rows with a customer state, in checking order."""
+def subscription_rules(null_end: bool = False, lenient: bool = False, settings: Settings = DEFAULTS) -> list[Q.Rule]:
+    """The rule catalogue over standardised rows with a customer state, in checking order.
+
+    A price too large to compute with is fatal under every policy: dropping it would falsify
+    the sums.
+    """
     known = F.col("customer_state") == "known"
     state = F.col("customer_state")
     customer, start, end = F.col("customer_id"), F.col("start_date"), F.col("end_date")
     start_raw, end_raw, price_raw = F.col("start_date_raw"), F.col("end_date_raw"), F.col("monthly_price_raw")
     fatal = Q.DROPPED if lenient else Q.FATAL
-    return [
+    rules = [
         Q.Rule("excluded_customer", state == "excluded", Q.DROPPED, F.lit(None), F.lit("customer was removed")),
         Q.Rule(
             "empty_customer_id",
@@ -315,11 +329,18 @@ def subscription_rules(null_end: bool = False, lenient: bool = False) -> list[Q.
         ),
         Q.Rule(
             "non_numeric_price",
-            known & F.col("monthly_price").isNull(),
+            known & F.col("monthly_price").isNull() & ~F.col("price_out_of_range"),
             fatal,
             price_raw,
             F.format_string("monthly_price '%s' is not a number", F.coalesce(price_raw, F.lit(""))),
         ),
+        Q.Rule(
+            OUT_OF_RANGE,
+            known & F.col("price_out_of_range"),
+            Q.FATAL,
+            price_raw,
+            F.format_string("monthly_price '%s' is too large", price_raw),
+        ),
         Q.Rule(
             "end_before_start",
             known & (end < start),
@@ -335,11 +356,12 @@ def subscription_rules(null_end: bool = False, lenient: bool = False) -> list[Q.
             F.lit("start_date before customer signup_date"),
         ),
     ]
+    return Q.with_severities(rules, settings.severities)
 
 
-def subscription_rule_counts(subject: DataFrame) -> DataFrame:
+def subscription_rule_counts(subject: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """(rule_id, severity, hits), all rules in one aggregate over stated rows."""
-    rules = subscription_rules()
+    rules = subscription_rules(settings=settings)
     return Q.as_rows(subject.agg(*Q.counters(rules)), rules)
 
 
@@ -348,17 +370,11 @@ def price_outliers(subs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     quartiles = exact_quantiles(value_counts(subs, [], F.col("monthly_price")), [], (0.25, 0.75))
     iqr = F.col("q_1") - F.col("q_0")
     usable = (F.col("size") >= settings.iqr_min_rows) & (iqr > 0)
-    bounds = quartiles.agg(
-        F.max(
-            F.when(
-                usable,
-                F.struct(
-                    (F.col("q_0") - settings.iqr_factor * iqr).alias("lower"),
-                    (F.col("q_1") + settings.iqr_factor * iqr).alias("upper"),
-                ),
-            )
-        )
-    ).scalar()
+    found = F.struct(
+        (F.col("q_0") - settings.iqr_factor * iqr).alias("lower"), (F.col("q_1") + settings.iqr_factor * iqr).alias("upper")
+    )
+    # One row, written: the plan above it refers to it several times.
+    bounds = staged(quartiles.agg(F.max(F.when(usable, found)).alias("b")), "price_bounds").scalar()
     price = F.col("monthly_price").cast("double")
     return (
         subs.where((price < bounds["lower"]) | (price > bounds["upper"]))
@@ -481,7 +497,7 @@ def clean_subscriptions(
     """
     _check_policy(policy)
     if overlap_policy not in ("warn", "strict"):
-        raise ValueError("overlap_policy must be 'warn' or 'strict'")
+        raise ValueError(f"unknown overlap_policy {overlap_policy!r}: warn or strict")
     if range_policy not in ("drop", "null_end"):
         raise ValueError("range_policy must be 'drop' or 'null_end'")
     null_end = range_policy == "null_end"
@@ -489,7 +505,7 @@ def clean_subscriptions(
     stated = with_customer_state(standardise_subscriptions(bronze, settings), reference, excluded, stage)
     if stage is not None:
         stated = stage(stated, "stated_subscriptions")
-    rules = subscription_rules(null_end, lenient=policy != STRICT)
+    rules = subscription_rules(null_end, lenient=policy != STRICT, settings=settings)
     known = stated.where((F.col("customer_state") == "known") & ~S.is_blank("customer_id"))
     overlaps_fatal = overlap_policy == "strict"
 
@@ -509,6 +525,12 @@ def clean_subscriptions(
         if any(hits.values()):
             _gate("subscriptions", hits, Q.union_all(shown), settings)
 
+    else:
+        # Nobody has counted these yet; the first one met stops the job.
+        stop = S.stop_at_price("monthly_price_raw")
+        checked = F.when(F.col(OUT_OF_RANGE), stop).otherwise(F.col("monthly_price"))
+        known = known.withColumn("monthly_price", checked)
+
     rows = repair_date_ranges(known) if null_end else known
     if policy == LENIENT:
         rows = rows.where(
@@ -517,7 +539,7 @@ def clean_subscriptions(
     columns = [*SILVER_COLUMNS]
     if policy == FLAG:
         columns += ["start_date_raw", "monthly_price_raw"]
-    return Outcome(rows=rows.select(*columns), warnings=warnings)
+    return Outcome(rows=rows.select(*columns), warnings=warnings, stated=stated)
 
 
 __all__ = [

@@ -61,7 +61,7 @@ def monthly_aggregates(subs: DataFrame, settings: Settings = DEFAULTS) -> DataFr
     )
 
 
-def quarantine(stated: DataFrame) -> DataFrame:
+def quarantine(stated: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Rows that cannot feed the metrics, with the first rule they break.
 
     ``stated`` is the output of clean.with_customer_state. Write it partitioned by rule_id.
@@ -73,10 +73,11 @@ def quarantine(stated: DataFrame) -> DataFrame:
         "empty_start_date",
         "malformed_start_date",
         "non_numeric_price",
+        "price_out_of_range",
         "end_before_start",
     }
     reason = F.coalesce(
-        *[F.when(r.hit, r.rule_id) for r in subscription_rules() if r.rule_id in blocking],
+        *[F.when(r.hit, r.rule_id) for r in subscription_rules(settings=settings) if r.rule_id in blocking],
         F.when(F.col("monthly_price") < 0, "negative_price"),
     )
     return (

@@ -30,6 +30,10 @@ def number_lines(raw: DataFrame) -> DataFrame:
     return positions(raw, "row_id", "_position").withColumn("line_no", F.col("_position") + 2).drop("_position")
 
 
+def _numbered(raw: DataFrame, lines: bool) -> DataFrame:
+    return number_lines(raw) if lines and "line_no" not in raw.columns else raw
+
+
 def _line(raw: DataFrame) -> Column:
     return F.col("line_no" if "line_no" in raw.columns else "row_id")
 
@@ -41,20 +45,19 @@ def _raw_text(df: DataFrame, name: str, settings: Settings) -> Column:
 
 def _date(df: DataFrame, name: str, settings: Settings) -> Column:
     if df.schema[name].dataType == T.DateType():
-        return F.col(name)
+        return S.in_range(F.col(name))
     return S.parse_date(F.col(name).cast("string"), settings.date_formats)
 
 
 def _price(df: DataFrame, name: str) -> Column:
     if df.schema[name].dataType == PRICE:
         return F.col(name)
-    return S.parse_price(F.col(name).cast("string"))
+    text = F.col(name).cast("string")
+    return F.coalesce(S.parse_price(text), F.when(S.price_out_of_range(text), S.stop_at_price(text)))
 
 
-def load_customers(raw: DataFrame, settings: Settings = DEFAULTS) -> Outcome:
-    """Valid customers: the first *valid* row of each id."""
-    require_columns(raw, CUSTOMER_COLUMNS, "customers")
-    parsed = computed_once(
+def _parse_customers(raw: DataFrame, settings: Settings) -> DataFrame:
+    return computed_once(
         raw,
         costly={"signup_date": _date(raw, "signup_date", settings)},
         cheap={
@@ -65,6 +68,15 @@ def load_customers(raw: DataFrame, settings: Settings = DEFAULTS) -> Outcome:
             "line_no": _line(raw),
         },
     )
+
+
+def load_customers(raw: DataFrame, settings: Settings = DEFAULTS, lines: bool = True) -> Outcome:
+    """Valid customers: the first *valid* row of each id.
+
+    Messages name text-file lines, counted for the warnings alone; row ids without ``lines``.
+    """
+    require_columns(raw, CUSTOMER_COLUMNS, "customers")
+    parsed = _parse_customers(raw, settings)
     valid = parsed.where("customer_id <> '' AND signup_date IS NOT NULL")
     rows = first_per_key(valid, "customer_id", "row_id")
     first_valid = valid.groupBy("customer_id").agg(F.min("row_id").alias("_first"))
@@ -82,18 +94,16 @@ def load_customers(raw: DataFrame, settings: Settings = DEFAULTS) -> Outcome:
     return Outcome(
         rows.select("row_id", "customer_id", "signup_date", "country"),
         lambda: Q.findings(
-            parsed.join(staged(first_valid, "first_valid_rows"), "customer_id", "left"), STAGE_CUSTOMERS, rules
+            _parse_customers(_numbered(raw, lines), settings).join(
+                staged(first_valid, "first_valid_rows"), "customer_id", "left"
+            ),
+            STAGE_CUSTOMERS,
+            rules,
         ),
     )
 
 
-def load_subscriptions(raw: DataFrame, customers: DataFrame, settings: Settings = DEFAULTS) -> Outcome:
-    """Valid subscriptions of ``customers`` (unique customer_id), and a finding per problem.
-
-    Pass ``customers`` as a stored table: Spark can then split the rows of a customer with
-    very many subscriptions (see operators.staging).
-    """
-    require_columns(raw, SUBSCRIPTION_COLUMNS, "subscriptions")
+def _parse_subscriptions(raw: DataFrame, settings: Settings) -> DataFrame:
     typed = raw.schema["start_date"].dataType == T.DateType()
     values = {
         "start_date": _date(raw, "start_date", settings),
@@ -109,11 +119,23 @@ def load_subscriptions(raw: DataFrame, customers: DataFrame, settings: Settings
         "monthly_price_raw": _raw_text(raw, "monthly_price", settings),
         "line_no": _line(raw),
     }
-    # Typed silver columns are plain references: filters on them may reach the scan.
+    # Typed silver columns need no parsing, so filters on them may reach the scan.
     if typed:
-        parsed = raw.select(*[c.alias(n) for n, c in {**shown, **values}.items()])
-    else:
-        parsed = computed_once(raw, costly=values, cheap=shown)
+        return raw.select(*[c.alias(n) for n, c in {**shown, **values}.items()])
+    return computed_once(raw, costly=values, cheap=shown)
+
+
+def load_subscriptions(
+    raw: DataFrame, customers: DataFrame, settings: Settings = DEFAULTS, lines: bool = True
+) -> Outcome:
+    """Valid subscriptions of ``customers`` (unique customer_id), and a finding per problem.
+
+    Pass ``customers`` as a stored table: Spark can then split the rows of a customer with
+    very many subscriptions (see operators.staging). Messages name text-file lines, counted for
+    the warnings alone; row ids without ``lines``.
+    """
+    require_columns(raw, SUBSCRIPTION_COLUMNS, "subscriptions")
+    parsed = _parse_subscriptions(raw, settings)
     ids = customers.select("customer_id")
     start, end, price = F.col("start_date"), F.col("end_date"), F.col("monthly_price")
     in_order = end.isNull() | (end >= start)
@@ -131,11 +153,13 @@ def load_subscriptions(raw: DataFrame, customers: DataFrame, settings: Settings
         Q.Rule("negative_price", usable & (price < 0), Q.DROPPED, F.col("monthly_price_raw"), Q.text("invalid_subscription", line, F.lit("monthly_price is negative"))),
         Q.Rule("end_before_start", usable & (price >= 0) & (end < start), Q.DROPPED, F.concat_ws(" to ", start.cast("string"), end.cast("string")), Q.text("end_before_start", customer)),
     ]
-    stated = parsed.join(ids.withColumn("_known", F.lit(True)), "customer_id", "left")
-    return Outcome(
-        rows.select("row_id", "customer_id", "start_date", "end_date", "plan", "monthly_price"),
-        lambda: Q.findings(stated, STAGE_SUBSCRIPTIONS, rules),
-    )
+
+    def warnings() -> DataFrame:
+        numbered = _parse_subscriptions(_numbered(raw, lines), settings)
+        stated = numbered.join(ids.withColumn("_known", F.lit(True)), "customer_id", "left")
+        return Q.findings(stated, STAGE_SUBSCRIPTIONS, rules)
+
+    return Outcome(rows.select("row_id", "customer_id", "start_date", "end_date", "plan", "monthly_price"), warnings)
 
 
 def overlap_warnings(subs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

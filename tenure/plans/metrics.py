@@ -41,7 +41,7 @@ def monthly_mrr(subs: DataFrame) -> DataFrame:
     )
     return running_months(interval_steps(cells, "amount"), "amount").select(
         month_key("month").alias("month"), money(F.col("amount")).alias("mrr")
-    )
+    ).orderBy("month")
 
 
 def _next_day_start(days: DataFrame) -> DataFrame:
@@ -141,6 +141,7 @@ def cohort_retention(customers: DataFrame, subs: DataFrame, settings: Settings =
             active.alias("active_after_3_months"),
         )
         .withColumn("retention_rate_3m", rate(F.col("active_after_3_months"), F.col("cohort_size")))
+        .orderBy("cohort_month")
     )
 
 

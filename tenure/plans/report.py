@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenure.config import DEFAULTS, FLAG, LENIENT, STRICT, Settings
-from tenure.operators.staging import staged
+from tenure.operators.ordered import positions
+from tenure.operators.staging import staged, staging_root
 from tenure.plans import clean, load
+from tenure.plans.gold import quarantine
 from tenure.plans.metrics import METRICS
-from tenure.schemas import CUSTOMER_COLUMNS, SUBSCRIPTION_COLUMNS
+from tenure.schemas import CUSTOMER_COLUMNS, SILVER_CUSTOMERS, SILVER_SUBSCRIPTIONS, SUBSCRIPTION_COLUMNS, require_types
 from tenure.session import configure
-from tenure.sources.tables import read_table, require_rows, write_document, write_table
+from tenure.sources.tables import file_bytes, read_table, require_rows, write_document, write_table
 
 # Order of the stages in the warning list.
 STAGES = (
@@ -49,8 +51,18 @@ def ordered_warnings(warnings: DataFrame) -> DataFrame:
 
 
 def first_warnings(warnings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """The first few warnings and how many there are in all."""
-    return ordered_warnings(warnings).limit(settings.warnings_shown)
+    """The first few warnings; ``more`` tells how many others there are."""
+    total = warnings.agg(F.count(F.lit(1))).scalar()
+    more = F.greatest(total - settings.warnings_shown, F.lit(0).cast("long"))
+    return ordered_warnings(warnings).limit(settings.warnings_shown).withColumn("more", more)
+
+
+def report_messages(warnings: DataFrame) -> DataFrame:
+    """(position, message) of all warnings in report order; a distributed sort, any number of rows."""
+    stage = F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("stage")).alias("_stage")
+    owner = F.when(F.col("stage") == load.STAGE_OVERLAPS, F.col("customer_id")).alias("_owner")
+    keyed = warnings.select(stage, owner, "row_id", "rule_id", "message")
+    return positions(keyed, ["_stage", "_owner", "row_id", "rule_id", "message"], "position").select("position", "message")
 
 
 def _rows(df: DataFrame, key: str) -> Column:
@@ -59,18 +71,11 @@ def _rows(df: DataFrame, key: str) -> Column:
     return df.agg(F.array_sort(F.collect_list(entry))).scalar()
 
 
-def _listed_messages(warnings: DataFrame) -> Column:
-    """All messages as one sorted array; callers check the number of warnings first."""
-    stage = F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("stage"))
-    owner = F.when(F.col("stage") == load.STAGE_OVERLAPS, F.col("customer_id"))
-    entry = F.struct(
-        stage.alias("stage"), F.coalesce(owner, F.lit("")).alias("owner"), "row_id", "rule_id", "message"
-    )
-    in_order = F.array_sort(F.collect_list(entry))
-    return warnings.agg(F.transform(in_order, lambda e: e["message"])).scalar()
+def _json(c: Column) -> Column:
+    return F.to_json(c, {"ignoreNullFields": "false"})
 
 
-def report_document(
+def report_lines(
     customers: DataFrame,
     subs: DataFrame,
     warnings: DataFrame,
@@ -78,31 +83,42 @@ def report_document(
     generated_at: str | None = None,
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    """One nested row: metadata and the three metric arrays.
+    """(section, position, value): the lines of a JSON document with metadata, all messages and the metrics.
 
-    Up to ``settings.report_warnings`` warnings are listed in the document. A larger set is
-    left to the warnings table: the list is then empty and ``warning_count`` tells its size.
+    Every message is a line of its own, so the document grows with the warnings and is never
+    held in one row.
     """
     stamp = generated_at or datetime.now(timezone.utc).isoformat()
     files = F.struct(*[F.lit(v).alias(k) for k, v in input_files.items()])
-    count = warnings.count()
-    listed = F.array().cast("array<string>")
-    if count <= settings.report_warnings:
-        listed = _listed_messages(warnings)
+    messages = staged(report_messages(warnings), "report_messages")
+    text = _json(F.array("message"))
+    comma = F.when(F.col("position") > 0, ",").otherwise("")
+    body = messages.withColumn("_t", text).select(
+        F.lit(1).alias("section"), "position", F.concat(comma, F.expr("substring(_t, 2, length(_t) - 2)")).alias("value")
+    )
+    summary = F.struct(
+        F.col("total_customers"),
+        subs.agg(F.count(F.lit(1))).scalar().alias("total_subscriptions"),
+        messages.agg(F.count(F.lit(1))).scalar().alias("warning_count"),
+    )
     keys = {"monthly_mrr": "month", "monthly_churn": "month", "cohort_retention": "cohort_month"}
-    return customers.agg(F.count(F.lit(1)).alias("total_customers")).select(
-        F.struct(
-            F.lit(stamp).alias("generated_at"),
-            files.alias("input_files"),
-            listed.alias("data_quality_warnings"),
-            F.struct(
-                F.col("total_customers"),
-                subs.agg(F.count(F.lit(1))).scalar().alias("total_subscriptions"),
-                F.lit(count).cast("long").alias("warning_count"),
-            ).alias("summary"),
-        ).alias("metadata"),
-        *[_rows(METRICS[name](customers, subs, settings), key).alias(name) for name, key in keys.items()],
+    metrics = [
+        F.concat(F.lit(f',\n"{name}": '), _json(_rows(METRICS[name](customers, subs, settings), key))) for name, key in keys.items()
+    ]
+    stamped = _json(F.struct(F.lit(stamp).alias("generated_at"), files.alias("input_files")))
+    frame = customers.agg(F.count(F.lit(1)).alias("total_customers")).select(
+        F.concat(F.lit('{"metadata": '), F.regexp_replace(stamped, r"\}\z", ""), F.lit(',"data_quality_warnings": [')).alias("head"),
+        F.concat(F.lit('],"summary": '), _json(summary), F.lit("}"), *metrics, F.lit("}")).alias("tail"),
+    )
+    ends = frame.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit(0).alias("section"), F.lit(0).cast("long").alias("position"), F.col("head").alias("value")),
+                F.struct(F.lit(2).alias("section"), F.lit(0).cast("long").alias("position"), F.col("tail").alias("value")),
+            )
+        )
     )
+    return ends.unionByName(body)
 
 
 class Run(NamedTuple):
@@ -114,7 +130,13 @@ class Run(NamedTuple):
     report: DataFrame
 
 
-def run(
+def run(spark: SparkSession, *paths: str, **options) -> Run:
+    """``full_run`` with one staging folder, removed at the end; see there for the arguments."""
+    with staging_root(spark):
+        return full_run(spark, *paths, **options)
+
+
+def full_run(
     spark: SparkSession,
     customers_path: str,
     subscriptions_path: str,
@@ -122,7 +144,9 @@ def run(
     policy: str = STRICT,
     overlap_policy: str = "warn",
     skip_preprocessing: bool = False,
-    dense_lines: bool = False,
+    lines: bool = True,
+    against_bronze: bool = False,
+    multiline: bool = False,
     silver_format: str = "parquet",
     input_bytes: int | None = None,
     progress: Callable[[str], None] = lambda message: None,
@@ -130,20 +154,25 @@ def run(
 ) -> Run:
     """Clean, load, measure and report.
 
-    Writes ``silver/``, ``loaded/``, ``warnings`` and ``report`` below ``output_path``. Each
-    step starts from the written table of the step before, so a lost executor costs at most
-    one step. ``policy`` "strict" raises on fatal findings; "lenient" lets the loader drop
-    the rows. ``skip_preprocessing`` takes the two paths as silver tables. ``dense_lines``
-    puts text-file line numbers into the messages (one more pass over the row ids).
-    ``input_bytes`` sizes the shuffles (see session.configure).
+    Writes ``silver/``, ``quarantine/``, ``loaded/``, ``warnings`` and ``report`` below
+    ``output_path``. Each step starts from the written table of the step before, so a lost
+    executor costs at most one step. ``policy`` "strict" raises on fatal findings; "lenient" lets
+    the loader drop the rows; both check every rule. ``skip_preprocessing`` takes the two paths as
+    silver tables. ``lines`` puts text-file line numbers into the messages, row ids otherwise.
+    ``against_bronze`` checks subscriptions against all customers of the raw table, removed ones
+    included. ``multiline`` reads line breaks inside quotes. ``input_bytes`` sizes the shuffles
+    (see session.configure); without it the sizes of the input files are added up.
     """
+    if input_bytes is None:
+        input_bytes = sum(file_bytes(spark, p) for p in (customers_path, subscriptions_path))
     configure(spark, input_bytes)
     given = {"customers": customers_path, "subscriptions": subscriptions_path}
-    raw_customers = read_table(spark, customers_path, CUSTOMER_COLUMNS, "customers", dense_lines)
-    raw_subs = read_table(spark, subscriptions_path, SUBSCRIPTION_COLUMNS, "subscriptions", dense_lines)
+    raw_customers = read_table(spark, customers_path, CUSTOMER_COLUMNS, "customers", multiline=multiline)
+    raw_subs = read_table(spark, subscriptions_path, SUBSCRIPTION_COLUMNS, "subscriptions", multiline=multiline)
     # Text is parsed once; the customer table is read by several steps.
     raw_customers = staged(raw_customers, "raw_customers")
-    if dense_lines or skip_preprocessing:
+    bronze_customers = raw_customers
+    if skip_preprocessing:
         raw_subs = staged(raw_subs, "raw_subscriptions")
     cleaning: list[DataFrame] = []
 
@@ -155,13 +184,18 @@ def run(
         write_table(cleaned.rows, silver_customers)
         write_table(cleaned.removed, removed)
         raw_customers = spark.read.parquet(silver_customers)
+        require_types(raw_customers, SILVER_CUSTOMERS, "customers")
         excluded = spark.read.parquet(removed)
 
         progress("cleaning subscriptions")
         strict = policy == STRICT
+        if against_bronze:
+            reference, excluded = clean.customer_reference(bronze_customers, settings=settings), None
+        else:
+            reference = clean.customer_reference(raw_customers, excluded, settings)
         result = clean.clean_subscriptions(
             raw_subs,
-            reference=clean.customer_reference(raw_customers, excluded, settings) if strict else None,
+            reference=reference,
             excluded=excluded,
             policy=STRICT if strict else FLAG,
             overlap_policy=overlap_policy,
@@ -171,19 +205,19 @@ def run(
         silver_subs = f"{output_path}/silver/subscriptions"
         write_table(result.rows, silver_subs)
         raw_subs = spark.read.parquet(silver_subs)
+        require_types(raw_subs, SILVER_SUBSCRIPTIONS, "subscriptions")
+        write_table(quarantine(result.stated, settings), f"{output_path}/quarantine", partition_by=("rule_id",))
         cleaning = [cleaned.warnings, result.warnings]
         if silver_format != "parquet":
             write_table(raw_customers, f"{silver_customers}_{silver_format}", silver_format)
             write_table(raw_subs, f"{silver_subs}_{silver_format}", silver_format)
 
     progress("loading")
-    if dense_lines:
-        raw_customers, raw_subs = load.number_lines(raw_customers), load.number_lines(raw_subs)
-    customers = load.load_customers(raw_customers, settings)
+    customers = load.load_customers(raw_customers, settings, lines)
     write_table(customers.rows, f"{output_path}/loaded/customers")
     loaded_customers = spark.read.parquet(f"{output_path}/loaded/customers")
     require_rows(loaded_customers, "customers")
-    subs = load.load_subscriptions(raw_subs, loaded_customers, settings)
+    subs = load.load_subscriptions(raw_subs, loaded_customers, settings, lines)
     write_table(subs.rows, f"{output_path}/loaded/subscriptions")
     loaded_subs = spark.read.parquet(f"{output_path}/loaded/subscriptions")
     require_rows(loaded_subs, "subscriptions")
@@ -199,10 +233,9 @@ def run(
     progress("measuring")
     # The report lists what the loader saw; cleaning findings stay in the warnings table.
     listed = warnings.where(F.col("stage").isin(load.STAGE_CUSTOMERS, load.STAGE_SUBSCRIPTIONS, load.STAGE_OVERLAPS))
-    report = report_document(loaded_customers, loaded_subs, listed, given, settings=settings)
-    write_document(report, f"{output_path}/report")
+    write_document(report_lines(loaded_customers, loaded_subs, listed, given, settings=settings), f"{output_path}/report")
     progress("done")
-    return Run(loaded_customers, loaded_subs, warnings, report)
+    return Run(loaded_customers, loaded_subs, warnings, spark.read.text(f"{output_path}/report"))
 
 
-__all__ = ["LENIENT", "Run", "first_warnings", "ordered_warnings", "report_document", "report_summary", "run"]
+__all__ = ["LENIENT", "Run", "first_warnings", "ordered_warnings", "report_lines", "report_messages", "report_summary", "full_run", "run"]

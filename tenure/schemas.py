@@ -10,7 +10,8 @@ from tenure.errors import DataQualityError
 CUSTOMER_COLUMNS = ("customer_id", "signup_date", "country")
 SUBSCRIPTION_COLUMNS = ("customer_id", "start_date", "end_date", "plan", "monthly_price")
 
-PRICE = T.DecimalType(18, 6)
+# Sums of 10**10 such prices still fit into 38 digits.
+PRICE = T.DecimalType(28, 6)
 
 SILVER_CUSTOMERS = T.StructType(
     [
@@ -34,19 +35,6 @@ SILVER_SUBSCRIPTIONS = T.StructType(
     ]
 )
 
-WARNINGS = T.StructType(
-    [
-        T.StructField("stage", T.StringType()),
-        T.StructField("rule_id", T.StringType()),
-        T.StructField("severity", T.StringType()),
-        T.StructField("row_id", T.LongType()),
-        T.StructField("customer_id", T.StringType()),
-        T.StructField("detail", T.StringType()),
-        T.StructField("message", T.StringType()),
-    ]
-)
-
-
 def require_columns(df: DataFrame, columns: tuple[str, ...], table: str) -> None:
     """Raise when ``df`` lacks one of ``columns``; extra columns are tolerated."""
     missing = sorted(set(columns) - set(df.columns))

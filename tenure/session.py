@@ -18,12 +18,11 @@ RUNTIME_SETTINGS = {
 # One shuffle partition per this many bytes of input, before the adaptive planner merges
 # small ones. Partitions of this size sort in memory on ordinary executors.
 BYTES_PER_PARTITION = 256 << 20
-MAX_PARTITIONS = 200_000
 
 
 def shuffle_partitions(input_bytes: int, cores: int) -> int:
     """How many shuffle partitions an input of that size needs."""
-    return max(cores, min(MAX_PARTITIONS, -(-input_bytes // BYTES_PER_PARTITION)))
+    return max(cores, -(-input_bytes // BYTES_PER_PARTITION))
 
 
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:

@@ -9,36 +9,66 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenure.errors import DataQualityError
 from tenure.operators.ordered import positions
 from tenure.schemas import require_columns
 
+#: Takes the field after the last column of the header, if a row has one.
+SURPLUS = "_surplus"
+
 
 def read_csv(
-    spark: SparkSession, path: str, columns: tuple[str, ...], table: str, dense_ids: bool = False
+    spark: SparkSession,
+    path: str,
+    columns: tuple[str, ...],
+    table: str,
+    dense_ids: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """All columns as text, padding kept, plus ``row_id`` in file order.
 
-    The header decides the columns, so files may order them differently and carry more of
-    them. ``row_id`` is increasing within the scan; ``dense_ids`` makes it 0, 1, 2, ...
+    ``path`` is a file, a compressed file or a folder of files, which count in the order of their
+    names. The header decides the columns, so files may order them differently and carry more of
+    them. ``row_id`` is increasing; ``dense_ids`` makes it 0, 1, 2, ... A row with more fields
+    than the header raises, found in one pass before any row is used. Rows end at line breaks,
+    so that large files can be split; a line break inside quotes raises then, and is read as part
+    of the field with ``multiline``, which gives each file to one task.
     """
+    options = {
+        "header": True,
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+        "escape": '"',
+        "multiLine": multiline,
+    }
     try:
-        raw = (
-            spark.read.option("header", True)
-            .option("inferSchema", False)
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .option("escape", '"')
-            .csv(path)
-        )
+        header = spark.read.options(**options, inferSchema=False).csv(path)
+        wide = T.StructType([*header.schema.fields, T.StructField(SURPLUS, T.StringType())])
+        raw = spark.read.options(**options).schema(wide).csv(path)
+        require_columns(header, columns, table)
+        surplus = raw.agg(F.count(SURPLUS), F.count(F.struct(*header.columns))).first()[0]
+        if not multiline:
+            quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+            cut = spark.read.text(path).where(quotes % 2 == 1).limit(1).count()
     except (AnalysisException, PySparkException) as error:
         raise DataQualityError(f"Failed to read {path}: {error}") from error
-    require_columns(raw, columns, table)
-    raw = raw.select(*columns, F.monotonically_increasing_id().alias("row_id"))
-    if dense_ids:
-        raw = positions(raw, "row_id", "_position").drop("row_id").withColumnRenamed("_position", "row_id")
-    return raw.select("row_id", *columns)
+    if surplus:
+        raise DataQualityError(f"Failed to read {path}: {surplus} rows have more fields than the header")
+    if not multiline and cut:
+        raise DataQualityError(f"Failed to read {path}: a line break inside quotes needs multiline=True")
+    rows = raw.select(*columns, F.monotonically_increasing_id().alias("row_id"), F.col("_metadata.file_path").alias("_file"))
+    if len(header.inputFiles()) > 1 or dense_ids:
+        rows = positions(rows, ["_file", "row_id"], "_position").drop("row_id").withColumnRenamed("_position", "row_id")
+    return rows.select("row_id", *columns)
+
+
+def file_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder on any file system; 0 where it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getContentSummary(target).getLength() if system.exists(target) else 0
 
 
 def read_parquet(spark: SparkSession, path: str, columns: tuple[str, ...], table: str) -> DataFrame:
@@ -54,11 +84,17 @@ def read_parquet(spark: SparkSession, path: str, columns: tuple[str, ...], table
 
 
 def read_table(
-    spark: SparkSession, path: str, columns: tuple[str, ...], table: str, dense_ids: bool = False
+    spark: SparkSession,
+    path: str,
+    columns: tuple[str, ...],
+    table: str,
+    dense_ids: bool = False,
+    fmt: str | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
-    """CSV for paths that end in .csv, Parquet otherwise."""
-    if path.endswith(".csv"):
-        return read_csv(spark, path, columns, table, dense_ids)
+    """``fmt`` is csv or parquet; without it, CSV for names in .csv, .csv.gz and .csv.bz2."""
+    if fmt == "csv" or fmt is None and path.endswith((".csv", ".csv.gz", ".csv.bz2")):
+        return read_csv(spark, path, columns, table, dense_ids, multiline)
     return read_parquet(spark, path, columns, table)
 
 
@@ -84,8 +120,6 @@ def require_rows(df: DataFrame, what: str) -> None:
         raise DataQualityError(f"No valid {what} found")
 
 
-def write_document(one_row: DataFrame, path: str) -> None:
-    """Write a one-row frame as indented JSON text."""
-    document = F.to_json(F.struct(*one_row.columns), {"pretty": "true", "ignoreNullFields": "false"})
-    one_row.select(document.alias("value")).coalesce(1).write.mode("overwrite").text(path)
-
+def write_document(lines: DataFrame, path: str) -> None:
+    """Write the lines of a document; its part files, in the order of their names, are one text."""
+    lines.orderBy("section", "position").select("value").write.mode("overwrite").text(path)

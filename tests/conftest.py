@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from tenure.session import build_session  # noqa: E402
 
 SUBSCRIPTION_TYPES = (
-    "row_id BIGINT, customer_id STRING, start_date DATE, end_date DATE, plan STRING, monthly_price DECIMAL(18,6)"
+    "row_id BIGINT, customer_id STRING, start_date DATE, end_date DATE, plan STRING, monthly_price DECIMAL(28,6)"
 )
 
 

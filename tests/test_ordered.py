@@ -29,7 +29,7 @@ def skewed_rows(seed: int, n: int = 400):
 
 
 def frame(spark, rows):
-    return spark.createDataFrame(rows, SUBSCRIPTION_TYPES.replace("DECIMAL(18,6)", "INT"))
+    return spark.createDataFrame(rows, SUBSCRIPTION_TYPES.replace("DECIMAL(28,6)", "INT"))
 
 
 def histories(rows):

@@ -10,7 +10,7 @@ from tenure.operators.quantiles import describe, describe_days, exact_quantiles,
 
 def prices(spark, pairs):
     return spark.createDataFrame(
-        [(g, None if v is None else Decimal(str(v))) for g, v in pairs], "g STRING, monthly_price DECIMAL(18,6)"
+        [(g, None if v is None else Decimal(str(v))) for g, v in pairs], "g STRING, monthly_price DECIMAL(28,6)"
     )
 
 

@@ -200,7 +200,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "overlaps_adjacent": lambda t: overlaps_adjacent(t.staged_valid),
     "price_outliers_iqr": lambda t: _prices_as_double(clean.price_outliers(t.staged_known)),
     "plan_price_spread": lambda t: clean.plan_price_spread(t.staged_known),
-    "null_profile": lambda t: explore.null_profile(t.known.drop("row_id")),
+    "null_profile": lambda t: explore.null_profile(t.known.drop("row_id", "price_out_of_range")),
     "repair_date_ranges": lambda t: t.repaired.select("row_id", "customer_id", "start_date", "end_date", "repaired"),
     "dq_examples": lambda t: findings.examples(
         findings.findings(t.stated, clean.STAGE_SUBSCRIPTIONS, clean.subscription_rules(lenient=True)), 5, 10

@@ -41,6 +41,8 @@ first_c AS (
   SELECT * FROM cust QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY row_id) = 1),
 silver_c AS (
   SELECT row_id, customer_id, signup_date, country FROM first_c WHERE signup_date IS NOT NULL AND customer_id IS NOT NULL),
+named AS (
+  SELECT * FROM first_c WHERE customer_id IS NOT NULL UNION ALL SELECT * FROM cust WHERE customer_id IS NULL),
 removed_c AS (
   SELECT customer_id, signup_date_raw FROM first_c WHERE signup_date IS NULL AND customer_id IS NOT NULL),
 text_s AS (
@@ -302,7 +304,6 @@ _QUERIES: dict[str, str] = {
         SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY row_id) AS rank FROM rule_hits)
         WHERE rank <= CASE WHEN rule_id = 'unknown_customer' THEN 10 ELSE 5 END""",
     "dq_warnings": """
-        WITH named AS (SELECT * FROM first_c WHERE customer_id IS NOT NULL UNION ALL SELECT * FROM cust WHERE customer_id IS NULL)
         SELECT 'clean_customers' AS stage, 'empty_customer_id' AS rule_id, 'fatal' AS severity, row_id, customer_id,
                NULL AS detail, 'customer_id is empty' AS message FROM named WHERE customer_id IS NULL
         UNION ALL SELECT 'clean_customers', 'empty_signup_date', 'dropped', row_id, customer_id, signup_date_raw,

@@ -92,7 +92,7 @@ def standardise_customers(bronze: DataFrame, settings: Settings = DEFAULTS) -> D
     return computed_once(
         bronze,
         costly={
-            "customer_id": cleaned_text("customer_id", settings),
+            "customer_id": shown_text("customer_id", settings),
             "signup_date": _parsed_date("signup_date", settings),
         },
         cheap={
@@ -189,13 +189,14 @@ def clean_customers(
 def customer_reference(
     customers: DataFrame, excluded: DataFrame | None = None, settings: Settings = DEFAULTS
 ) -> DataFrame:
-    """(customer_id, signup_date or null) of a raw or silver customer table, first row per id."""
+    """(customer_id, signup_date or null) of a raw or silver customer table, first row per non-empty id."""
     typed = dict(customers.dtypes).get("signup_date") == "date"
     signup = (
         F.col("signup_date") if typed else S.parse_date("signup_date", settings.date_formats)
     )
     ids = customers.select("row_id", S.strip(F.col("customer_id").cast("string")).alias("customer_id"), signup.alias("signup_date"))
-    reference = first_per_key(ids, "customer_id", "row_id").select("customer_id", "signup_date")
+    named = ids.where(~S.is_blank("customer_id"))
+    reference = first_per_key(named, "customer_id", "row_id").select("customer_id", "signup_date")
     if excluded is not None:
         reference = reference.join(excluded.select("customer_id"), "customer_id", "left_anti")
     return reference
@@ -229,7 +230,7 @@ def standardise_subscriptions(bronze: DataFrame, settings: Settings = DEFAULTS)
     return computed_once(
         bronze,
         costly={
-            "customer_id": cleaned_text("customer_id", settings),
+            "customer_id": shown_text("customer_id", settings),
             "start_date": _parsed_date("start_date", settings),
             "end_date": _parsed_date("end_date", settings),
             "monthly_price": S.parse_price(raw_price, settings.price_corrections),
@@ -426,7 +427,8 @@ def _diagnostics(known: DataFrame, overlap_severity: str, settings: Settings) ->
                     "price_outlier",
                     F.lit(True),
                     Q.MONITOR,
-                    F.col("monthly_price").cast("double"),
+                    # Plain digits at any size, without the zeros of the scale.
+                    F.regexp_replace(F.col("monthly_price").cast("string"), "([.][0-9]+?)0+$", "$1"),
                     F.format_string(
                         "monthly_price of plan '%s' outside [%.2f, %.2f]",
                         F.coalesce("plan", F.lit("")),

@@ -66,7 +66,7 @@ def compare(spark, con, sf_dir: str, name: str) -> list[str]:
 
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     spark = build_session("oracle-check", "local[8]")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

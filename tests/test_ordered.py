@@ -134,5 +134,5 @@ def test_positions_over_sparse_ids(spark):
     rng = random.Random(7)
     row_ids = rng.sample(range(1 << 40), 300)
     df = spark.createDataFrame([(i,) for i in row_ids], "row_id BIGINT")
-    out = ordered.positions(df, "row_id", "p", block_bits=36).collect()
+    out = ordered.positions(df, "row_id", "p").collect()
     assert {r["row_id"]: r["p"] for r in out} == {v: i for i, v in enumerate(sorted(row_ids))}

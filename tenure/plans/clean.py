@@ -530,7 +530,10 @@ def clean_subscriptions(
     else:
         # Nobody has counted these yet; the first one met stops the job.
         stop = S.stop_at_price("monthly_price_raw")
-        checked = F.when(F.col(OUT_OF_RANGE), stop).otherwise(F.col("monthly_price"))
+        checked = F.when((F.col("customer_state") == "known") & F.col(OUT_OF_RANGE), stop).otherwise(F.col("monthly_price"))
+        if policy == FLAG:
+            # The loader names unknown customers itself, with their lines in the silver table.
+            known = stated.where((F.col("customer_state") != "excluded") & ~S.is_blank("customer_id"))
         known = known.withColumn("monthly_price", checked)
 
     rows = repair_date_ranges(known) if null_end else known

@@ -3,9 +3,12 @@
 Candidates come from the SimHash of the five-word shingles (linked over the vantage-point tree
 of ``simhash.py``) and from keys of a few shingles with the least hashes under several
 permutations, which near copies of similarity 0.8 share almost surely though their fingerprints
-differ in ten bits. A candidate is compared with the first document of its key, never with all
-others of it, and counts if the share of common shingles is 0.8 or more. The share is exact for
-texts of up to ``BOTTOM`` shingles and estimated from the least hashes for longer ones.
+differ in ten bits. All documents of a key are first compared with its first document, and those
+that fail with the first of them again, so that groups of near copies cost no more pairs than they
+have members. What a key then still has in different groups is compared pair by pair: no two
+documents of a key stay apart without a comparison. A pair counts if the share of common shingles
+is 0.8 or more. The share is exact for texts of up to ``BOTTOM`` shingles and estimated from the
+least hashes for longer ones.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ SHINGLE, SIMILAR, RADIUS = 5, 0.8, 2
 KEYS, PER_KEY = 12, 4
 #: Least hashes kept of a document; the estimate's deviation at 0.8 is below 0.03.
 BOTTOM = 192
+#: How often the documents of a key that fail are compared with the first of them.
+STARS = 2
 
 
 def _mix(h: np.ndarray, seed: int) -> np.ndarray:
@@ -35,8 +40,8 @@ def _mix(h: np.ndarray, seed: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def sketch(text: str) -> tuple[int, list[int], list[int]] | None:
-    """(SimHash, keys, least hashes in order); None for a text without words."""
+def sketch(text: str) -> tuple[int, list[int], list[int], int] | None:
+    """(SimHash, keys, least hashes in order, different shingles); None for a text without words."""
     hashes = shingle_hashes(text, SHINGLE)
     if not len(hashes):
         return None
@@ -48,7 +53,7 @@ def sketch(text: str) -> tuple[int, list[int], list[int]] | None:
             mixed = np.partition(mixed, PER_KEY - 1)[:PER_KEY]
         keys.append(int(_mix(np.sort(mixed), k + 100).sum(dtype=np.uint64).view(np.int64)))
     least = np.unique((_mix(some, 0) >> np.uint64(33)).astype(np.int32))[:BOTTOM]
-    return bits_of(hashes), keys, least.tolist()
+    return bits_of(hashes), keys, least.tolist(), len(some)
 
 
 def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,6 +66,7 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "fp": np.array([r[0] if r else 0 for r in rows], np.uint64).view(np.int64),
                 "keys": [r[1] if r else [] for r in rows],
                 "least": [r[2] if r else [] for r in rows],
+                "n": np.array([r[3] if r else 0 for r in rows], np.int32),
             }
         )
 
@@ -71,31 +77,62 @@ def resemblance(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(F.array_intersect(a, b), union)) / F.size(union)
 
 
+def _similar(pairs: DataFrame, own: DataFrame) -> DataFrame:
+    """The pairs (key, centre) whose texts are similar."""
+    left = own.select("key", F.col("least").alias("a"))
+    right = own.select(F.col("key").alias("centre"), F.col("least").alias("b"))
+    checked = pairs.join(left, "key").join(right, "centre").where(resemblance(F.col("a"), F.col("b")) >= SIMILAR)
+    return checked.select("key", "centre")
+
+
+def _roots(pairs: DataFrame) -> DataFrame:
+    return components(pairs.select(F.col("key").alias("u"), F.col("centre").alias("v")))
+
+
+def _linked(own: DataFrame, keyed: DataFrame) -> DataFrame:
+    """node, root of all documents (key, least, n) similar to one they share a key k with."""
+    found, rest = None, keyed
+    for _ in range(STARS):
+        centre = rest.groupBy("k").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+        star = staged(rest.join(staged(centre, "near_centres"), "k").where("key <> centre"), "near_star")
+        similar = staged(_similar(star.select("key", "centre").distinct(), own), "near_similar")
+        found = similar if found is None else found.unionByName(similar)
+        rest = staged(star.join(similar, ["key", "centre"], "left_anti").select("key", "k"), "near_rest")
+    roots = staged(_roots(found), "near_roots")
+    node = roots.select(F.col("node").alias("key"), "root")
+    group = keyed.join(own.select("key", "n"), "key").join(node, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    group = staged(group, "near_groups")
+    # Only keys whose documents are in several groups are left to do.
+    parted = group.groupBy("k").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("k")
+    open_ = staged(group.join(staged(parted, "near_parted"), "k"), "near_open")
+    u = open_.select("k", "key", "root", "n")
+    v = open_.select("k", F.col("key").alias("centre"), F.col("root").alias("other"), F.col("n").alias("m"))
+    size = F.least("n", "m") >= SIMILAR * F.greatest("n", "m")
+    across = u.join(v, "k").where((F.col("key") > F.col("centre")) & (F.col("root") != F.col("other")) & size)
+    more = staged(_similar(across.select("key", "centre").distinct(), own), "near_across")
+    return _roots(found.unionByName(more)) if more.take(1) else roots
+
+
 def copies(rows: DataFrame) -> DataFrame:
     """key of every row (key, text) that has an equal or similar text of smaller key in its group."""
     made = rows.select("key", F.sha2("text", 256).alias("same"), "text").mapInPandas(
-        _sketches, "key long, same string, fp long, keys array<bigint>, least array<int>"
+        _sketches, "key long, same string, fp long, keys array<bigint>, least array<int>, n int"
     )
     every = staged(made, "near_sketches")
     first = staged(every.groupBy("same").agg(F.min("key").alias("key")), "near_first")
     equal = every.select("key", "same").join(first.withColumnRenamed("key", "first"), "same").where("key <> first").select("key")
     # Only the first of equal texts is compared with others.
     own = every.join(first.select("key"), "key").where(F.size("keys") > 0)
-    own = staged(own.select("key", "fp", "keys", "least"), "near_own")
-    keyed = own.select("key", F.explode("keys").alias("k"))
-    centre = staged(keyed.groupBy("k").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1"), "near_keys")
-    shared = keyed.join(centre, "k").where("key <> centre").select("key", "centre")
-    prints = staged(own.groupBy("fp").agg(F.min("key").alias("least_key")), "near_prints")
-    near = links(prints, RADIUS)
-    a, b = prints.toDF("u", "key"), prints.toDF("v", "centre")
-    over = near.join(a, "u").join(b, "v").select("key", "centre")
-    twins = own.select("key", "fp").join(prints, "fp").where("key <> least_key").select("key", F.col("least_key").alias("centre"))
-    pairs = shared.unionByName(over).unionByName(twins)
-    pairs = staged(pairs.select(F.greatest("key", "centre").alias("key"), F.least("key", "centre").alias("centre")).distinct(), "near_pairs")
-    left = own.select("key", F.col("least").alias("a"))
-    right = own.select(F.col("key").alias("centre"), F.col("least").alias("b"))
-    checked = pairs.join(left, "key").join(right, "centre").where(resemblance(F.col("a"), F.col("b")) >= SIMILAR)
-    roots = components(checked.select(F.col("key").alias("u"), F.col("centre").alias("v")))
+    own = staged(own.select("key", "fp", "keys", "least", "n"), "near_own")
+    near = staged(links(own.select("fp").distinct(), RADIUS), "near_links")
+    # A fingerprint is a key of its own, and so is the star of fingerprints around one.
+    stars = near.select(F.col("u").alias("fp"), "v").unionByName(near.select(F.col("v").alias("fp"), F.col("u").alias("v")))
+    stars = stars.unionByName(own.select("fp", F.col("fp").alias("v"))).distinct()
+    prints = own.select("key", "fp").join(stars, "fp").select("key", F.xxhash64(F.lit("fp"), "v").alias("k"))
+    keyed = own.select("key", F.explode("keys").alias("k")).unionByName(prints).distinct()
+    shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k")
+    keyed = staged(keyed.join(staged(shared, "near_keys"), "k").select("key", "k"), "near_keyed")
+    roots = _linked(own, keyed)
     return equal.unionByName(roots.where("node <> root").select(F.col("node").alias("key")))
 
 

@@ -1,0 +1,63 @@
+"""Near copies against all-pairs Jaccard."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from tenure.llm import neardup
+from tenure.llm.simhash import shingle_hashes
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def kept_by_definition(texts):
+    """The first of each group linked by a similarity of 0.8, over all pairs."""
+    sets = [set(shingle_hashes(t, 5).tolist()) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and sets[j] and jaccard(sets[i], sets[j]) >= 0.8:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {i for i in range(len(texts)) if find(i) == i}
+
+
+def family(rnd, n, own, words=120):
+    """Documents over one template, each with a stretch of words of its own."""
+    base = [f"t{rnd.random()}" for _ in range(words)]
+    return [" ".join(base[:-own] + [f"w{rnd.random()}" for _ in range(own)]) for _ in range(n)]
+
+
+def changed(rnd, text, k):
+    """Another last k words: k shingles of the text go."""
+    return " ".join(text.split()[:-k] + [f"c{rnd.random()}" for _ in range(k)])
+
+
+def kept(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"] for r in neardup.keep_first(rows).collect()}
+
+
+@pytest.mark.parametrize("own", [16, 20])
+def test_near_copies_in_a_template_family_are_found(spark, own):
+    rnd = random.Random(own)
+    strangers = family(rnd, 60, own)
+    # Later ones, each a near copy of one stranger and 0.6 to 0.79 alike to all others.
+    texts = strangers + [changed(rnd, t, 5) for t in strangers[30:]]
+    assert kept(spark, texts) == kept_by_definition(texts) == set(range(60))
+
+
+def test_a_chain_is_followed_through_a_linked_document(spark):
+    # Windows over one row of words: each 0.85 alike to the next, the first and the last 0.72.
+    texts = [" ".join([f"x{k}" for k in range(i * 11, i * 11 + 140)]) for i in (0, 2, 1)]
+    assert kept(spark, texts) == kept_by_definition(texts) == {0}

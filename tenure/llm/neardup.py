@@ -7,13 +7,13 @@ differ in ten bits. All documents of a key are first compared with its first doc
 that fail with the first of them again, so that groups of near copies cost no more pairs than they
 have members. What a key then still has in different groups is compared pair by pair: no two
 documents of a key stay apart without a comparison. A pair counts if the share of common shingles
-is 0.8 or more. The share is exact for texts of up to ``BOTTOM`` shingles and estimated from the
-least hashes for longer ones.
+is 0.8 or more, by all shingles of both texts; the least hashes only clear pairs far apart.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,8 +28,11 @@ from tenure.operators.staging import staged
 SHINGLE, SIMILAR, RADIUS = 5, 0.8, 2
 #: Keys per document and shingles per key: at 0.8 a common key is missed in 2 of 1000 pairs.
 KEYS, PER_KEY = 12, 4
-#: Least hashes kept of a document; the estimate's deviation at 0.8 is below 0.03.
-BOTTOM = 192
+#: Least hashes kept of a document; the estimate's deviation at 0.8 is below 0.03, so a pair of
+#: 0.8 is cleared in less than one of a thousand million cases.
+BOTTOM, CLEARED = 192, 0.6
+#: Texts whose shingles a task remembers.
+REMEMBERED = 64
 #: How often the documents of a key that fail are compared with the first of them.
 STARS = 2
 
@@ -72,30 +75,46 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def resemblance(a: Column, b: Column) -> Column:
-    """Common share of two sets of shingles from their least hashes."""
+    """About the common share of two sets of shingles, from their least hashes."""
     union = F.slice(F.array_sort(F.array_union(a, b)), 1, BOTTOM)
     return F.size(F.array_intersect(F.array_intersect(a, b), union)) / F.size(union)
 
 
-def _similar(pairs: DataFrame, own: DataFrame) -> DataFrame:
-    """The pairs (key, centre) whose texts are similar."""
-    left = own.select("key", F.col("least").alias("a"))
-    right = own.select(F.col("key").alias("centre"), F.col("least").alias("b"))
-    checked = pairs.join(left, "key").join(right, "centre").where(resemblance(F.col("a"), F.col("b")) >= SIMILAR)
-    return checked.select("key", "centre")
+def _decided(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @lru_cache(REMEMBERED)
+    def shingles(text: str) -> np.ndarray:
+        return np.unique(shingle_hashes(text, SHINGLE))
+
+    for batch in batches:
+        similar = []
+        for x, y in zip(batch["a"], batch["b"], strict=True):
+            x, y = shingles(x), shingles(y)
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            similar.append(common / (len(x) + len(y) - common) >= SIMILAR)
+        yield batch.loc[similar, ["key", "centre"]]
+
+
+def _similar(pairs: DataFrame, own: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (key, centre) whose texts have 0.8 of all their shingles in common."""
+    left = own.select("key", F.col("least").alias("a"), "n")
+    right = own.select(F.col("key").alias("centre"), F.col("least").alias("b"), F.col("n").alias("m"))
+    near = pairs.join(left, "key").join(right, "centre").where(F.least("n", "m") >= SIMILAR * F.greatest("n", "m"))
+    near = staged(near.where(resemblance(F.col("a"), F.col("b")) >= CLEARED).select("key", "centre"), "near_undecided")
+    left, right = texts.toDF("key", "a"), texts.toDF("centre", "b")
+    return near.join(left, "key").join(right, "centre").mapInPandas(_decided, "key long, centre long")
 
 
 def _roots(pairs: DataFrame) -> DataFrame:
     return components(pairs.select(F.col("key").alias("u"), F.col("centre").alias("v")))
 
 
-def _linked(own: DataFrame, keyed: DataFrame) -> DataFrame:
+def _linked(own: DataFrame, keyed: DataFrame, texts: DataFrame) -> DataFrame:
     """node, root of all documents (key, least, n) similar to one they share a key k with."""
     found, rest = None, keyed
     for _ in range(STARS):
         centre = rest.groupBy("k").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
         star = staged(rest.join(staged(centre, "near_centres"), "k").where("key <> centre"), "near_star")
-        similar = staged(_similar(star.select("key", "centre").distinct(), own), "near_similar")
+        similar = staged(_similar(star.select("key", "centre").distinct(), own, texts), "near_similar")
         found = similar if found is None else found.unionByName(similar)
         rest = staged(star.join(similar, ["key", "centre"], "left_anti").select("key", "k"), "near_rest")
     roots = staged(_roots(found), "near_roots")
@@ -109,7 +128,7 @@ def _linked(own: DataFrame, keyed: DataFrame) -> DataFrame:
     v = open_.select("k", F.col("key").alias("centre"), F.col("root").alias("other"), F.col("n").alias("m"))
     size = F.least("n", "m") >= SIMILAR * F.greatest("n", "m")
     across = u.join(v, "k").where((F.col("key") > F.col("centre")) & (F.col("root") != F.col("other")) & size)
-    more = staged(_similar(across.select("key", "centre").distinct(), own), "near_across")
+    more = staged(_similar(across.select("key", "centre").distinct(), own, texts), "near_across")
     return _roots(found.unionByName(more)) if more.take(1) else roots
 
 
@@ -132,7 +151,7 @@ def copies(rows: DataFrame) -> DataFrame:
     keyed = own.select("key", F.explode("keys").alias("k")).unionByName(prints).distinct()
     shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k")
     keyed = staged(keyed.join(staged(shared, "near_keys"), "k").select("key", "k"), "near_keyed")
-    roots = _linked(own, keyed)
+    roots = _linked(own, keyed, rows.select("key", "text"))
     return equal.unionByName(roots.where("node <> root").select(F.col("node").alias("key")))
 
 

@@ -1,4 +1,4 @@
-"""SentencePiece encoding by batched Viterbi, and decoding.
+"""SentencePiece encoding by batched Viterbi or batched merges, and decoding.
 
 The vocabulary comes from a model file, whose path is a parameter; the driver reads it and the
 tasks get its pieces. A piece has its blank mark only at its front, so a text is cut in front of
@@ -6,10 +6,14 @@ each run of marks and every distinct word is segmented once. Words of one length
 together: hashes of all their substrings are looked up in the sorted hashes of the pieces of
 that length, and one maximum per position over all words gives the back pointers. The
 segmentation has the largest sum of piece scores; among equal sums the longer last piece wins.
+That is the segmentation of a unigram model. The scores of a BPE model are the ranks of its merges:
+there the same batches of words of one length are merged, in every word the neighbours of the
+highest rank first, the left ones among equals.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -24,6 +28,8 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Texts segmented together, words remembered, and table cells per Viterbi step.
 CHUNK, KEPT, CELLS = 512, 300_000, 1 << 20
+#: Longer words are merged one by one.
+LONG = 512
 
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -36,11 +42,14 @@ class Vocabulary(NamedTuple):
     scores: list[float]
     byte_ids: list[int]
     unknown: int
+    #: Are the scores the ranks of merges?
+    merges: bool = False
 
 
 def read_vocabulary(path: str) -> Vocabulary:
     """Pieces, scores and byte pieces of a SentencePiece model file."""
     import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = range(model.get_piece_size())
@@ -48,7 +57,8 @@ def read_vocabulary(path: str) -> Vocabulary:
     pieces = [model.id_to_piece(i) for i in ids]
     scores = [float("nan") if s else model.get_score(i) for i, s in zip(ids, special, strict=True)]
     bytes_ = {int(p[3:5], 16): i for i, p in enumerate(pieces) if model.is_byte(i)}
-    return Vocabulary(pieces, scores, [bytes_.get(b, -1) for b in range(256)], model.unk_id())
+    kind = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto()).trainer_spec
+    return Vocabulary(pieces, scores, [bytes_.get(b, -1) for b in range(256)], model.unk_id(), kind.model_type == kind.BPE)
 
 
 class Segmenter:
@@ -194,9 +204,102 @@ class Segmenter:
         return np.split(ids, edges) if parts else []
 
 
+class Merger(Segmenter):
+    """Segmentations of a BPE model: neighbours are merged by rank."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__(vocabulary)
+        self.usable = {p: (i, s) for i, (p, s) in enumerate(zip(vocabulary.pieces, vocabulary.scores, strict=True)) if s == s and p}
+        keys = [k + self._salt(m) for m, (k, _, _) in enumerate(self.tables, 1)]
+        keys, ids, scores = (np.concatenate(x) for x in (keys, [i for _, i, _ in self.tables], [v for _, _, v in self.tables]))
+        order = np.argsort(keys)
+        self.table = keys[order], ids[order], scores[order]
+
+    @staticmethod
+    def _salt(length) -> np.ndarray:
+        """Keeps pieces of different lengths apart in one table."""
+        return np.asarray(length, np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+
+    def _found(self, prefix: np.ndarray, rows: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Id and score of the piece from start to end, -1 and -inf where there is none."""
+        size = end - start
+        short = np.minimum(size, self.longest)
+        h = prefix[rows, end] - prefix[rows, start] * self.power[short] + self._salt(size)
+        keys, ids, scores = self.table
+        place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+        hit = (keys[place] == h) & (size <= self.longest)
+        return np.where(hit, ids[place], -1), np.where(hit, scores[place], -np.inf)
+
+    def _same_length(self, words: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
+        n = len(words)
+        codes = self._codes(words, length)
+        if length > LONG:
+            found = [self._by_heap(w, c) for w, c in zip(words, codes.tolist(), strict=True)]
+            return self._bytes(np.concatenate(found), np.array([len(x) for x in found]))
+        prefix = self._prefix(codes)
+        # Of the part that starts at a letter: where it ends, where the one before it starts, and
+        # the rank of its merge with the next one. There is no part before 0, nor after the end.
+        end = np.tile(np.arange(1, length + 1), (n, 1))
+        before = np.tile(np.arange(-1, length), (n, 1))
+        rank = np.full((n, length), -np.inf)
+        row = np.repeat(np.arange(n), length - 1)
+        at = np.tile(np.arange(length - 1), n)
+        rank[:, : length - 1] = self._found(prefix, row, at, at + 2)[1].reshape(n, length - 1)
+        part = np.ones((n, length), bool)
+        live = np.arange(n)
+        while len(live):
+            at = rank[live].argmax(axis=1)
+            more = rank[live, at] > -np.inf
+            live, at = live[more], at[more]
+            gone = end[live, at]
+            end[live, at] = stop = end[live, gone]
+            before[live, stop] = at
+            part[live, gone] = False
+            rank[live, gone] = rank[live, at] = -np.inf
+            on = stop < length
+            r, a, e = live[on], at[on], stop[on]
+            rank[r, a] = self._found(prefix, r, a, end[r, e])[1]
+            on = at > 0
+            r, a = live[on], before[live[on], at[on]]
+            rank[r, a] = self._found(prefix, r, a, stop[on])[1]
+        row, start = np.nonzero(part)
+        ids = self._found(prefix, row, start, end[row, start])[0].astype(np.int32)
+        ids = np.where(ids < 0, -1 - codes[row, start].astype(np.int32), ids)
+        return self._bytes(ids, np.bincount(row, minlength=n))
+
+    def _by_heap(self, word: str, codes: list[int]) -> np.ndarray:
+        """The same for one long word, in a time that does not grow with the square of its length."""
+        n, end, before = len(word), list(range(1, len(word) + 1)), list(range(-1, len(word)))
+        heap: list[tuple[float, int, int, int]] = []
+
+        def offer(start: int, middle: int, stop: int) -> None:
+            found = self.usable.get(word[start:stop]) if stop - start <= self.longest else None
+            if found:
+                heapq.heappush(heap, (-found[1], start, middle, stop))
+
+        for k in range(n - 1):
+            offer(k, k + 1, k + 2)
+        while heap:
+            _, start, middle, stop = heapq.heappop(heap)
+            # An offer is void once one of its parts was merged otherwise.
+            if end[start] != middle or end[middle] != stop:
+                continue
+            end[start], end[middle], before[stop] = stop, -1, start
+            if stop < n:
+                offer(start, stop, end[stop])
+            if start:
+                offer(before[start], start, stop)
+        out, at = [], 0
+        while at < n:
+            found = self.usable.get(word[at : end[at]])
+            out.append(found[0] if found else -1 - codes[at])
+            at = end[at]
+        return np.array(out, np.int32)
+
+
 def _encoder(vocabulary: Vocabulary, text: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        segmenter = Segmenter(vocabulary)
+        segmenter = (Merger if vocabulary.merges else Segmenter)(vocabulary)
         for batch in batches:
             for start in range(0, len(batch), CHUNK):
                 part = batch.iloc[start : start + CHUNK]

@@ -261,14 +261,15 @@ class Model(NamedTuple):
     bias: float
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[np.ndarray, float]:
-    """Newton steps on the penalised likelihood; the classes weigh as they come."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, weight: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Newton steps on the penalised likelihood; a row stands for ``weight`` rows, or for itself."""
+    c = np.ones(len(x)) if weight is None else weight
     a = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(a.shape[1])
     ridge = np.diag([penalty] * x.shape[1] + [1e-3])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + ridge, a.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve(a.T @ (a * (c * p * (1 - p))[:, None]) + ridge, a.T @ (c * (y - p)) - ridge @ w)
         w += np.clip(step, -5, 5)
         if np.max(np.abs(step)) < 1e-6:
             break
@@ -279,8 +280,11 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     """Learn lexicon and weights from labelled rows that are not held out."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT))
 
+    each = known.select(F.col("toxic").cast("int").alias("toxic"), "doc_id").distinct()
+    total = {r["toxic"]: r["count"] for r in each.groupBy("toxic").count().where("toxic IN (0, 1)").collect()}
+
     def sample(toxic: int) -> DataFrame:
-        one = known.where(F.col("toxic").cast("int") == toxic).select("doc_id").distinct()
+        one = each.where(F.col("toxic") == toxic).select("doc_id")
         ids = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
         return docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text")
 
@@ -306,7 +310,10 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
         for scored in (x.mapInPandas(_featurise(terms, spared), ", ".join(f"{c} double" for c in FEATURES)) for x in (bad, good))
     ]
     y = np.concatenate([np.ones(len(rows[0])), np.zeros(len(rows[1]))])
-    weights, bias = fit_logistic(np.vstack(rows), y)
+    # Classes above the bound are thinned out: their rows stand for those left out, lest the prior
+    # drift with the size of the table. The weights sum to the number of rows.
+    weight = np.where(y == 1, max(1.0, total[1] / bound), max(1.0, total[0] / bound))
+    weights, bias = fit_logistic(np.vstack(rows), y, weight=weight * len(y) / weight.sum())
     return Model(terms, spared, weights, bias)
 
 

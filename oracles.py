@@ -312,7 +312,7 @@ _QUERIES: dict[str, str] = {
                'signup_date ''' || signup_date_raw || ''' is not a date - customer removed'
                FROM named WHERE signup_date_raw IS NOT NULL AND signup_date IS NULL
         UNION ALL SELECT 'clean_customers', 'missing_country', 'monitor', row_id, customer_id, NULL,
-               'Customer ''' || customer_id || ''' has missing country - keeping record'
+               'Customer ''' || coalesce(customer_id, '') || ''' has missing country - keeping record'
                FROM named WHERE signup_date IS NOT NULL AND country IS NULL
         UNION ALL SELECT 'clean_customers', 'duplicate_customer_id', 'dropped', row_id, customer_id, signup_date_raw,
                'customer_id ''' || customer_id || ''' occurs again - first row kept'

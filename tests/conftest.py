@@ -10,11 +10,9 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from tenure.session import build_session  # noqa: E402
+from typed import SUBSCRIPTION_TYPES  # noqa: E402
 
-SUBSCRIPTION_TYPES = (
-    "row_id BIGINT, customer_id STRING, start_date DATE, end_date DATE, plan STRING, monthly_price DECIMAL(28,6)"
-)
+from tenure.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -125,7 +125,14 @@ def test_combined_dirty_set(raw_customers, raw_subs):
 def test_typed_silver_loads_as_well(subs, customers):
     people = load_customers(customers(("C1", "2024-01-01")))
     out = load_subscriptions(subs(("C1", "2024-01-01", None, 30), ("C9", "2024-01-01", None, 30)), people.rows)
-    assert out.rows.count() == 1 and messages(out.warnings) == ["Unknown customer_id 'C9' at row 1 - skipping subscription"]
+    # Numbered like the lines of a text file with a header.
+    assert out.rows.count() == 1 and messages(out.warnings) == ["Unknown customer_id 'C9' at row 3 - skipping subscription"]
+
+
+def test_row_ids_instead_of_lines(subs, customers):
+    people = load_customers(customers(("C1", "2024-01-01")), lines=False)
+    out = load_subscriptions(subs(("C1", "2024-01-01", None, 30), ("C9", "2024-01-01", None, 30)), people.rows, lines=False)
+    assert messages(out.warnings) == ["Unknown customer_id 'C9' at row 1 - skipping subscription"]
 
 
 def test_overlap_messages(subs):

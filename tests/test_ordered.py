@@ -6,8 +6,8 @@ from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
-from conftest import SUBSCRIPTION_TYPES
 from pyspark.sql import functions as F
+from typed import SUBSCRIPTION_TYPES
 
 from tenure.config import DEFAULTS
 from tenure.operators import ordered

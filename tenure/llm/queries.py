@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import langid, mixing, pieces, quality, repeats, sharding, simhash, toxicity, winnowing, wrappers
+from tenure.llm import langid, mixing, pieces, quality, repeats, sharding, simhash, toxicity, whitening, winnowing, wrappers
 from tenure.llm.common import documents, labels
 
 SHARDS = 24
@@ -53,6 +53,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir), labels(spark, sf_dir))[0]
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
@@ -64,4 +68,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "op13_whitening": op13_whitening,
 }

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import langid, mixing, pieces, quality, repeats, sharding, simhash, toxicity, whitening, winnowing, wrappers
+from tenure.llm import crosstok, langid, mixing, pieces, quality, repeats, sharding, simhash, toxicity, whitening, winnowing, wrappers
 from tenure.llm.common import documents, labels
 
 SHARDS = 24
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +54,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir), labels(spark, sf_dir))[0]
 
 
+def op12_crosstok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstok.align_documents(documents(spark, sf_dir), BYTE_MODEL, PIECE_MODEL)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -68,5 +73,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "op12_crosstok": op12_crosstok,
     "op13_whitening": op13_whitening,
 }

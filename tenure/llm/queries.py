@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import crosstok, langid, mixing, pieces, quality, repeats, sharding, simhash, toxicity, whitening, winnowing, wrappers
+from tenure.llm import crosstok, langid, mixing, pieces, pitman_yor, quality, repeats, sharding, simhash, toxicity, whitening, winnowing, wrappers
 from tenure.llm.common import documents, labels
 
 SHARDS = 24
@@ -54,6 +54,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir), labels(spark, sf_dir))[0]
 
 
+def op11_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(documents(spark, sf_dir))
+
+
 def op12_crosstok(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosstok.align_documents(documents(spark, sf_dir), BYTE_MODEL, PIECE_MODEL)
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_pitman_yor": op11_pitman_yor,
     "op12_crosstok": op12_crosstok,
     "op13_whitening": op13_whitening,
 }

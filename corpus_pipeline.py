@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenure.llm import mixing, neardup, pieces, repeats, toxicity
+from tenure.llm import mixing, pieces, repeats, simhash, toxicity
 from tenure.llm.common import documents, labels
 from tenure.operators.staging import staged
 
@@ -24,8 +24,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    return neardup.keep_first(docs.select(*COLUMNS))
+    """One document of each group linked by fingerprints: the smallest id, see simhash.keep_first.
+
+    Null and empty texts have no words and are one group; of repeated rows one stays.
+    """
+    return simhash.keep_first(docs.select(*COLUMNS))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +44,16 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them.
+
+    Null and empty texts have no words and are not taken; ties and repeated rows are told apart at
+    random by a fixed seed; a null source is a source.
+    """
     return mixing.copied(docs.select(*COLUMNS))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens and ids of every document."""
+    """doc_id, source, n_tokens and ids of every document; null and empty texts have no ids."""
     rows = pieces.encode(docs.select("doc_id", "source", "text"), PIECE_MODEL)
     return rows.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 

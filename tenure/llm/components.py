@@ -11,7 +11,8 @@ from tenure.operators.staging import staged
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every greater neighbour of a node to the least node around."""
     both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    # Written: the rows of a star's centre are split only against a table that is scanned.
+    least = staged(both.groupBy("u").agg(F.min("v").alias("m")), "star_least")
     near = both.where("v > u").join(least, "u")
     return near.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
@@ -19,7 +20,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = staged(down.groupBy("u").agg(F.min("v").alias("m")), "star_least")
     moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -34,7 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round is written to the shared folder, which cuts the lineage and survives a lost
     executor; the number of rounds grows with the logarithm of the longest chain. Minima are
-    combined before they are shuffled, so a node with very many links is no burden.
+    combined before they are shuffled and written before they are joined, so that the rows of a
+    node with very many links can be split.
     """
     now = staged(_small_star(edges), "star")
     before, state = None, _state(now)

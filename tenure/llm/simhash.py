@@ -241,6 +241,37 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return cells.groupBy("leaf", "a", "b").applyInPandas(_link_cell(radius), "u long, v long")
 
 
+def _rooted(distinct: DataFrame, radius: int) -> DataFrame:
+    """(fp, least, root) of the distinct fingerprints (fp, least), written."""
+    roots = components(links(distinct, radius))
+    return staged(
+        distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+            "fp", "least", F.coalesce("root", "fp").alias("root")
+        ),
+        "simhash_roots",
+    )
+
+
+def keep_first(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The columns of ``docs``, of one document for each component of near duplicates.
+
+    The smallest id stays, a null id only where the component has no other. Null and empty texts
+    have fingerprint 0 and are one component; of repeated rows one stays.
+    """
+    printed = F.pandas_udf(lambda texts: pd.Series(np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)), "long")
+    columns = [F.col(c).alias(f"_c{i}") for i, c in enumerate(docs.columns)]
+    rows = staged(
+        docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", printed("text").alias("fp"), F.struct(*columns).alias("row")),
+        "simhash_rows",
+    )
+    found = _rooted(staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash_distinct"), radius)
+    linked = rows.select("key", "doc_id", "fp").join(found.select("fp", "root"), "fp")
+    # Combined before the shuffle, so a component of very many rows is no burden.
+    first = linked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first"))
+    kept = rows.join(first.select("first.key"), "key", "left_semi")
+    return kept.select(*[F.col(f"row._c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint, component_id for every row.
 
@@ -251,14 +282,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS)
     used.
     """
     prints = staged(fingerprints(docs, width), "simhash")
-    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash_distinct")
-    roots = components(links(distinct, radius))
-    rooted = staged(
-        distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-            "fp", "least", F.coalesce("root", "fp").alias("root")
-        ),
-        "simhash_roots",
-    )
+    rooted = _rooted(staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash_distinct"), radius)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     found = staged(rooted.join(least, "root").select("fp", "component_id"), "simhash_components")
     return prints.join(found, "fp").select(

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from tenure.llm import langid, mixing, neardup, pieces, quality, queries, repeats, sharding, simhash, toxicity, winnowing, wrappers
+from tenure.llm import crosstok, langid, mixing, pieces, pitman_yor, quality, queries, repeats, sharding, simhash, toxicity, winnowing, wrappers
 
 LABELS = "doc_id long, quality int, toxic int"
 MODEL = queries.PIECE_MODEL
@@ -26,6 +26,8 @@ OPERATORS = {
     "op7": lambda spark, d: winnowing.fingerprint_documents(d),
     "op8": lambda spark, d: toxicity.score_toxicity(d, label_rows(spark, [(0, 1, 1), (7, 1, 0), (9, None, None), (None, 1, 1)])),
     "op9": lambda spark, d: mixing.mix_sources(d),
+    "op11": lambda spark, d: pitman_yor.score_documents(d, share=0.01),
+    "op12": lambda spark, d: crosstok.align_documents(d, queries.BYTE_MODEL, MODEL),
     "op10": lambda spark, d: quality.quality_rules(d, label_rows(spark, [(0, 1, 1), (1, 0, 0), (None, 0, 0)]))[0],
 }
 
@@ -65,12 +67,15 @@ def test_stages_take_any_rows(spark, docs, empty, tmp_path):
         assert rows
 
 
-def test_near_copies_and_equal_texts_leave_one_document(spark, docs):
-    ids = [r["doc_id"] for r in neardup.keep_first(docs).collect()]
-    # 0, 1 and the repeated row are equal, 2 differs in one word; 3, 4 and a row without id are empty.
-    assert ids.count(0) == 1 and not {1, 2} & set(ids)
-    assert {5, 6, 7, 8, 9, 10, 15} <= set(ids)
-    assert len([i for i in ids if i in (3, 4)]) == 1
+def test_near_copies_and_equal_texts_leave_one_document(docs, clashing):
+    found = simhash.near_duplicates(docs).collect()
+    kept = simhash.keep_first(clashing)
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert kept.columns == clashing.columns
+    assert sorted(i for i in ids if i is not None) == sorted({r["component_id"] for r in found if r["component_id"] is not None})
+    # 0, 1 and the repeated row are equal; 3, 4, 5 and a row without an id have no words.
+    assert ids.count(0) == 1 and 1 not in ids and {6, 7, 8, 9, 10, 15} <= set(ids)
+    assert [i for i in ids if i in (3, 4, 5)] == [3]
 
 
 def test_a_stage_keeps_nulls_and_n_chars_follow_the_text(spark, docs):

@@ -337,24 +337,16 @@ def _scorer(model: Model):
     return run
 
 
-def _filter(model: Model):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """Rows of ``docs`` that the model does not predict toxic; only the text leaves the JVM."""
+
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lexicon = Lexicon(model.terms)
         for batch in batches:
-            x = np.array([features(t, lexicon, model.spared) for t in batch["text"]], float).reshape(-1, len(FEATURES))
-            yield batch[x @ model.weights + model.bias < 0]
-
-    return run
-
+            x = np.array([features(t, lexicon, model.spared) for t in batch], float).reshape(-1, len(FEATURES))
+            yield pd.Series(x @ model.weights + model.bias < 0)
 
-def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
-    """Rows of ``docs`` that the model does not predict toxic, with all their columns.
-
-    Rows travel through pandas with every column as text, so nulls and whole numbers stay exact.
-    """
-    as_text = docs.select(*[F.col(c).cast("string").alias(c) for c in docs.columns])
-    kept = as_text.mapInPandas(_filter(model), ", ".join(f"`{c}` string" for c in docs.columns))
-    return kept.select(*[F.col(c).cast(t).alias(c) for c, t in docs.dtypes])
+    return docs.where(F.pandas_udf(clean, "boolean")("text"))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

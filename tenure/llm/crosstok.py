@@ -11,8 +11,9 @@ of them. The counts then go along the runs once more, and every text gets the su
 counts and the number of its links that are the best of their second id.
 
 Null and empty texts, and texts that a vocabulary cannot write back byte by byte, have no tokens:
-all numbers 0, an empty digest. Repeated rows count as often as they occur; ids may be null. Long
-texts are encoded in segments that end before a single space, where neither vocabulary joins.
+all numbers 0, an empty digest. Repeated rows count as often as they occur; ids may be null. The
+vocabularies never join across a single space between two words, so texts are encoded by the
+stretches between those, and a stretch that a task has met before costs one lookup.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ import heapq
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import chain, groupby
 from operator import itemgetter
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,14 +45,25 @@ RADICES = 16
 BLOCK_RECORDS = 1 << 20
 #: Packed bytes of the runs that one merging task takes.
 SLICE_BYTES = 32 << 20
-#: Characters that are encoded at a time.
-SEGMENT = 1 << 16
+#: Bytes of text that a task encodes at a time, and stretches of text that it remembers.
+GROUP_BYTES, KNOWN = 1 << 20, 200_000
 _BLANK = "▁"
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 
 
+class Stretch(NamedTuple):
+    """A stretch of text in both vocabularies; None stands for one that does not come back."""
+
+    n_a: int
+    n_b: int
+    n_groups: int
+    #: One number per link, second id in the upper half.
+    links: tuple[int, ...]
+    groups: str
+
+
 class Codec:
-    """Both tokenizers of a task, and the byte length of every entry."""
+    """Both tokenizers of a task, the bytes of every entry, and the stretches met so far."""
 
     def __init__(self, first: str, second: str):
         import sentencepiece
@@ -64,22 +78,28 @@ class Codec:
         for name, i in names.items():
             self.a_bytes[i] = bytes(level[c] for c in name) if all(c in level for c in name) else name.encode()
         self.b_bytes = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
-        self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-
-    def encode(self, text: str) -> tuple[list[int], list[int]] | None:
-        """Ids by both, or None where one of them does not give the text back."""
-        if not text:
-            return None
-        a: list[int] = []
-        b: list[int] = []
-        for part in segments(text):
-            a += self.a.encode(" " + part, add_special_tokens=False).ids
-            b += self.b.encode(part)
-        whole = b" " + text.encode()
+        self.a_size = [len(x) for x in self.a_bytes]
+        self.b_size = [len(x) for x in self.b_bytes]
+        self.known: dict[str, Stretch | None] = {}
+
+    def learn(self, parts: list[str]) -> None:
+        """Encode and align stretches that are not known yet."""
+        new = [p for p in dict.fromkeys(parts) if p not in self.known]
+        if len(self.known) + len(new) > KNOWN:
+            self.known.clear()
+            new = list(dict.fromkeys(parts))
+        for start in range(0, len(new), 4096):
+            some = new[start : start + 4096]
+            firsts = self.a.encode_batch([" " + p for p in some], add_special_tokens=False)
+            for part, first, b in zip(some, firsts, self.b.encode(some)):
+                self.known[part] = self._aligned(part, first.ids, b)
+
+    def _aligned(self, part: str, a: list[int], b: list[int]) -> Stretch | None:
+        whole = b" " + part.encode()
         if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
             return None
-        return a, b
+        links, groups = align(a, b, self.a_size, self.b_size)
+        return Stretch(len(a), len(b), len(groups), tuple(y << 32 | x for x, y in links), groups_text(a, b, groups))
 
 
 def _byte_level() -> dict[str, int]:
@@ -104,29 +124,25 @@ def codec(first: str, second: str) -> Codec:
 _CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 
 
-def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
-    """The text cut at single spaces, which are left out, into parts of at least ``size`` characters."""
-    start = 0
-    while len(text) - start > size:
-        cut = _CUT.search(text, start + size)
-        if cut is None:
-            break
-        yield text[start : cut.start()]
-        start = cut.end()
-    yield text[start:]
-
-
-def align(a: list[int], b: list[int], a_size: np.ndarray, b_size: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int, int]]]:
-    """(first ids, second ids) of all links in text order, and the groups as slices of both."""
-    ai, bi = np.array(a, np.int64), np.array(b, np.int64)
-    a_end, b_end = np.cumsum(a_size[ai]), np.cumsum(b_size[bi])
-    # Every stretch between two neighbouring ends belongs to one token of each side.
-    ends = np.union1d(a_end, b_end)
-    common = np.intersect1d(a_end, b_end)
-    a_cut, b_cut = np.searchsorted(a_end, common) + 1, np.searchsorted(b_end, common) + 1
-    a_from, b_from = np.concatenate([[0], a_cut[:-1]]), np.concatenate([[0], b_cut[:-1]])
-    groups = list(zip(a_from.tolist(), a_cut.tolist(), b_from.tolist(), b_cut.tolist()))
-    return ai[np.searchsorted(a_end, ends)], bi[np.searchsorted(b_end, ends)], groups
+def align(a: list[int], b: list[int], a_size: list[int], b_size: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int]]]:
+    """(first id, second id) of all links in order, and the groups as slices of both."""
+    links, groups = [], []
+    i = j = from_i = from_j = 0
+    a_end, b_end = a_size[a[0]], b_size[b[0]]
+    while True:
+        # The stretch up to the nearer end belongs to one token of each side.
+        links.append((a[i], b[j]))
+        step = (a_end <= b_end, b_end <= a_end)
+        i, j = i + step[0], j + step[1]
+        if step[0] and step[1]:
+            groups.append((from_i, i, from_j, j))
+            from_i, from_j = i, j
+        if i == len(a):
+            return links, groups
+        if step[0]:
+            a_end += a_size[a[i]]
+        if step[1]:
+            b_end += b_size[b[j]]
 
 
 def groups_text(a: list[int], b: list[int], groups: list[tuple[int, int, int, int]]) -> str:
@@ -152,23 +168,24 @@ class _Block:
 
     def __init__(self, name: int):
         self.name = name
-        self.ids: list[pa.Scalar] = []
+        self.ids: list = []
         self.digests: list[tuple] = []
         self.pairs: list[np.ndarray] = []
         self.links: list[np.ndarray] = []
         self.records = 0
 
-    def add(self, doc_id: pa.Scalar, text: str | None, codec: Codec) -> None:
+    def add(self, doc_id: object, parts: list[str], codec: Codec) -> None:
         place = len(self.ids)
         self.ids.append(doc_id)
-        found = codec.encode(text) if text else None
-        if found is None:
+        found = [codec.known[p] for p in parts]
+        if not found or None in found:
             self.digests.append((0, 0, 0, 0, ""))
             return
-        a, b, groups = align(*found, codec.a_size, codec.b_size)
-        shown = hashlib.sha256(groups_text(*found, groups).encode()).hexdigest()
-        self.digests.append((len(found[0]), len(found[1]), len(groups), len(a), shown))
-        pairs, links = np.unique(b.astype(np.uint64) << _SHIFT | a.astype(np.uint64), return_counts=True)
+        linked = np.fromiter(chain.from_iterable([s.links for s in found]), np.uint64)
+        shown = hashlib.sha256(";".join([s.groups for s in found]).encode()).hexdigest()
+        sizes = (sum([s.n_a for s in found]), sum([s.n_b for s in found]), sum([s.n_groups for s in found]))
+        self.digests.append((*sizes, len(linked), shown))
+        pairs, links = np.unique(linked, return_counts=True)
         self.pairs.append(pairs)
         self.links.append(np.stack([np.full(len(pairs), place), links]))
         self.records += len(pairs)
@@ -180,7 +197,7 @@ class _Block:
             id_type,
             block=[self.name] * n,
             place=range(n),
-            doc_id=pa.array([x.as_py() for x in self.ids], id_type),
+            doc_id=self.ids,
             **dict(zip((*_DIGEST, "groups_sha256"), map(list, zip(*self.digests)))),
         )
         if not self.records:
@@ -213,15 +230,30 @@ def _batch(n: int, id_type: pa.DataType, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, pa.DataType]]:
+    """A bounded number of texts at a time, by their number and their bytes."""
+    for batch in batches:
+        kind = batch.schema.field("doc_id").type
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(batch):
+            before = sizes[start - 1] if start else 0
+            end = max(start + 1, min(start + 512, int(np.searchsorted(sizes, before + GROUP_BYTES))))
+            part = batch.slice(start, end - start)
+            yield part.column("doc_id").to_pylist(), part.column("text").to_pylist(), kind
+            start = end
+
+
 def _encoder(first: str, second: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, count = codec(first, second), 0
-        base = TaskContext.get().partitionId() << 32
+        base = TaskContext.get().partitionId() << 20
         block, kind = _Block(base), pa.int64()
-        for batch in batches:
-            kind = batch.schema.field("doc_id").type
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                block.add(doc_id, text.as_py(), both)
+        for ids, texts, kind in _groups(batches):
+            parts = [_CUT.split(t) if t else [] for t in texts]
+            both.learn(list(chain.from_iterable(parts)))
+            for doc_id, own in zip(ids, parts):
+                block.add(doc_id, own, both)
                 if block.records >= BLOCK_RECORDS or len(block.ids) >= BLOCK_RECORDS >> 4:
                     yield from block.rows(kind)
                     count += 1

@@ -80,10 +80,10 @@ def test_pairs_of_the_corpus(spark):
     assert [(r["n"], r["best"]) for r in rows] == [(4, True)]
 
 
-def test_segments_change_nothing():
+def test_stretches_change_nothing():
     both = crosstok.codec(BYTE_MODEL, PIECE_MODEL)
-    text = "some words, more  words\n and 12 34 ' quoted's end. " * 40
-    parts = list(crosstok.segments(text, 50))
+    text = "some words, more  words\n and 12 34 ' quoted's end. \u2003wide\u2003 x" * 40
+    parts = crosstok._CUT.split(text)
     assert len(parts) > 10 and " ".join(parts) == text
     assert [i for p in parts for i in both.a.encode(" " + p, add_special_tokens=False).ids] == both.a.encode(" " + text, add_special_tokens=False).ids
     assert [i for p in parts for i in both.b.encode(p)] == both.b.encode(text)

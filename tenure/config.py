@@ -29,8 +29,9 @@ class Settings:
     """Formats, corrections and thresholds.
 
     ``hot_rows`` is the group size from which one customer's history is split over
-    several tasks (see ``operators.ordered``). ``severities`` overrides the severity of rules
-    by their id, as (rule_id, severity) pairs.
+    several tasks (see ``operators.ordered``). ``severities`` is the rule table: (rule_id,
+    severity) pairs that decide what becomes of the rows a rule hits (see
+    ``operators.dispositions``).
     """
 
     date_formats: tuple[str, ...] = DATE_FORMATS
@@ -48,5 +49,8 @@ class Settings:
     hot_rows: int = 1 << 20
     severities: tuple[tuple[str, str], ...] = ()
 
+    def severity(self, rule_id: str, default: str) -> str:
+        return dict(self.severities).get(rule_id, default)
+
 
 DEFAULTS = Settings()

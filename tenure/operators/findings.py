@@ -13,6 +13,9 @@ FATAL = "fatal"
 DROPPED = "dropped"
 REPAIRED = "repaired"
 MONITOR = "monitor"
+#: Repaired without a finding.
+SILENT = "silent"
+SEVERITIES = (FATAL, DROPPED, REPAIRED, MONITOR, SILENT)
 
 # The texts of the report's warning list. Arguments are given as text.
 MESSAGES = {
@@ -36,6 +39,12 @@ class Rule(NamedTuple):
     severity: str
     detail: Column
     message: Column
+    #: Columns to set in a row that is repaired.
+    repair: tuple[tuple[str, Column], ...] = ()
+    #: Columns to set, by an expression that raises, where a fatal row must not just be left out.
+    stop: tuple[tuple[str, Column], ...] = ()
+    #: The loader judges such rows itself.
+    handed_on: bool = False
 
 
 def text(rule_id: str, *args: Column) -> Column:
@@ -44,7 +53,8 @@ def text(rule_id: str, *args: Column) -> Column:
 
 
 def findings(rows: DataFrame, stage: str, rules: Sequence[Rule]) -> DataFrame:
-    """One warning row per (row, hitting rule); needs row_id and customer_id."""
+    """One warning row per (row, hitting rule that is not silent); needs row_id and customer_id."""
+    rules = [r for r in rules if r.severity != SILENT] or [Rule("none", F.lit(False), MONITOR, F.lit(None), F.lit(None))]
     hits = [
         F.when(
             r.hit,
@@ -74,9 +84,15 @@ def findings(rows: DataFrame, stage: str, rules: Sequence[Rule]) -> DataFrame:
 
 
 def with_severities(rules: Sequence[Rule], severities: Sequence[tuple[str, str]]) -> list[Rule]:
-    """The rules with the severities that the settings give them."""
+    """The rules with the severities that the settings give them; those are not left to the loader."""
     given = dict(severities)
-    return [r._replace(severity=given.get(r.rule_id, r.severity)) for r in rules]
+    wrong = sorted(f"{rule}={s}" for rule, s in given.items() if s not in SEVERITIES)
+    if wrong:
+        raise ValueError(f"severity must be one of {', '.join(SEVERITIES)}: {wrong}")
+    for r in rules:
+        if given.get(r.rule_id) == REPAIRED and not r.repair:
+            raise ValueError(f"rule {r.rule_id} has no repair")
+    return [r._replace(severity=given[r.rule_id], handed_on=False) if r.rule_id in given else r for r in rules]
 
 
 def counters(rules: Sequence[Rule]) -> list[Column]:

@@ -5,11 +5,14 @@ Three policies for rows that break a fatal rule:
 * ``strict``  - count every rule in one job and raise with all of them.
 * ``lenient`` - drop (or repair) the rows, each with a finding.
 * ``flag``    - keep the rows for the loader, each with a finding.
+
+The rule catalogue is one table: its severities, which the settings may change, decide by
+themselves what silver, quarantine, counts and findings hold (see operators.dispositions).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 from tenure.config import DEFAULTS, FLAG, LENIENT, STRICT, Settings
 from tenure.errors import DataQualityError
 from tenure.functions import scalars as S
+from tenure.operators import dispositions as D
 from tenure.operators import findings as Q
 from tenure.operators.once import computed_once, made
 from tenure.operators.ordered import first_per_key
@@ -27,6 +31,9 @@ from tenure.operators.staging import staged
 from tenure.schemas import SUBSCRIPTION_COLUMNS, require_columns
 
 OUT_OF_RANGE = "price_out_of_range"
+EMPTY_ID, DUPLICATE_ID = "empty_customer_id", "duplicate_customer_id"
+# Corrections that the rule table may forbid: corrected without a finding unless it says otherwise.
+PLAN_TYPO, PRICE_WORD = "plan_typo", "price_word"
 STAGE_CUSTOMERS = "clean_customers"
 STAGE_SUBSCRIPTIONS = "clean_subscriptions"
 
@@ -107,7 +114,7 @@ def customer_rules(settings: Settings = DEFAULTS, has_country: bool = True) -> l
     """Rules on the first row of each customer."""
     raw, parsed = F.col("signup_date_raw"), F.col("signup_date")
     rules = [
-        Q.Rule("empty_customer_id", S.is_blank("customer_id"), Q.FATAL, F.lit(None), F.lit("customer_id is empty")),
+        Q.Rule(EMPTY_ID, S.is_blank("customer_id"), Q.FATAL, F.lit(None), F.lit("customer_id is empty")),
         Q.Rule(
             "empty_signup_date",
             raw.isNull(),
@@ -150,18 +157,26 @@ def duplicate_customers(standard: DataFrame) -> DataFrame:
 
 
 def clean_customers(
-    bronze: DataFrame, policy: str = LENIENT, settings: Settings = DEFAULTS
+    bronze: DataFrame, policy: str = LENIENT, settings: Settings = DEFAULTS, extra: Sequence[Q.Rule] = ()
 ) -> Outcome:
-    """Silver customers, the removed ids, and the findings. The first row of an id wins."""
+    """Silver customers, the removed ids, and the findings. The first row of an id wins.
+
+    ``extra`` rules see the standardised first row of each id. Ids must be there and unique, so
+    the two rules about that cannot be turned into mere findings.
+    """
     _check_policy(policy)
+    for rule in (EMPTY_ID, DUPLICATE_ID):
+        if settings.severity(rule, Q.DROPPED) not in (Q.FATAL, Q.DROPPED):
+            raise ValueError(f"rule {rule} of the customer table must stay fatal or dropped")
     standard = standardise_customers(bronze, settings)
     first = first_per_key(standard, "customer_id", "row_id")
+    rules = [*customer_rules(settings, "country" in bronze.columns), *Q.with_severities(extra, settings.severities)]
 
     def warnings() -> DataFrame:
         repeated = Q.Rule(
-            "duplicate_customer_id",
+            DUPLICATE_ID,
             F.lit(True),
-            Q.DROPPED,
+            settings.severity(DUPLICATE_ID, Q.DROPPED),
             F.col("signup_date_raw"),
             F.format_string("customer_id '%s' occurs again - first row kept", F.col("customer_id")),
         )
@@ -169,19 +184,25 @@ def clean_customers(
         named = first.where(~S.is_blank("customer_id")).unionByName(standard.where(S.is_blank("customer_id")))
         return Q.union_all(
             [
-                Q.findings(named, STAGE_CUSTOMERS, customer_rules(settings, "country" in bronze.columns)),
+                Q.findings(named, STAGE_CUSTOMERS, rules),
                 Q.findings(duplicate_customers(standard), STAGE_CUSTOMERS, [repeated]),
             ]
         )
 
-    if policy == STRICT:
-        empty = standard.agg(F.count_if(S.is_blank("customer_id")).alias("n")).first()["n"]
-        if empty:
-            _gate("customers", {"empty_customer_id": empty}, warnings(), settings)
     named = first.where(~S.is_blank("customer_id"))
+    if policy == STRICT:
+        fatal = [r for r in rules if r.severity == Q.FATAL and r.rule_id != EMPTY_ID]
+        hits = named.agg(*Q.counters(fatal)).first().asDict() if fatal else {}
+        if settings.severity(EMPTY_ID, Q.FATAL) == Q.FATAL:
+            hits[EMPTY_ID] = standard.agg(F.count_if(S.is_blank("customer_id")).alias("n")).first()["n"]
+        if settings.severity(DUPLICATE_ID, Q.DROPPED) == Q.FATAL:
+            hits[DUPLICATE_ID] = duplicate_customers(standard).count()
+        if any(hits.values()):
+            _gate("customers", hits, warnings(), settings)
+    gone = D.dropping_rule(rules, policy)
     return Outcome(
-        rows=named.where("signup_date IS NOT NULL").select("row_id", "customer_id", "signup_date", "country"),
-        removed=named.where("signup_date IS NULL").select("customer_id", "signup_date_raw"),
+        rows=D.disposed(named, rules, policy).select("row_id", "customer_id", "signup_date", "country"),
+        removed=named.where(gone.isNotNull()).select("customer_id", "signup_date_raw"),
         warnings=warnings,
     )
 
@@ -227,26 +248,39 @@ def standardise_subscriptions(bronze: DataFrame, settings: Settings = DEFAULTS)
     require_columns(bronze, SUBSCRIPTION_COLUMNS, "subscriptions")
 
     raw_price, end_raw = F.col("monthly_price").cast("string"), shown_text("end_date", settings)
+    plans = settings.plan_corrections if _corrects(PLAN_TYPO, settings) else ()
+    prices = settings.price_corrections if _corrects(PRICE_WORD, settings) else ()
+    # What was there before, only where the rule table asks about it.
+    before = {}
+    if settings.severity(PLAN_TYPO, Q.SILENT) != Q.SILENT:
+        before["plan_before"] = cleaned_text("plan", settings)
+    if settings.severity(PRICE_WORD, Q.SILENT) != Q.SILENT:
+        before["price_before"] = shown_text("monthly_price", settings)
     return computed_once(
         bronze,
         costly={
             "customer_id": shown_text("customer_id", settings),
             "start_date": _parsed_date("start_date", settings),
             "end_date": _parsed_date("end_date", settings),
-            "monthly_price": S.parse_price(raw_price, settings.price_corrections),
+            "monthly_price": S.parse_price(raw_price, prices),
         },
         cheap={
             "row_id": F.col("row_id"),
             "start_date_raw": shown_text("start_date", settings),
             "end_date_raw": end_raw,
             "end_date_malformed": end_raw.isNotNull() & made("end_date").isNull(),
-            "plan": S.correct(cleaned_text("plan", settings), settings.plan_corrections),
-            "monthly_price_raw": S.correct(shown_text("monthly_price", settings), settings.price_corrections),
-            "price_out_of_range": made("monthly_price").isNull() & S.price_out_of_range(raw_price, settings.price_corrections),
+            "plan": S.correct(cleaned_text("plan", settings), plans),
+            "monthly_price_raw": S.correct(shown_text("monthly_price", settings), prices),
+            "price_out_of_range": made("monthly_price").isNull() & S.price_out_of_range(raw_price, prices),
+            **before,
         },
     )
 
 
+def _corrects(rule: str, settings: Settings) -> bool:
+    return settings.severity(rule, Q.SILENT) != Q.MONITOR
+
+
 def _parsed_date(name: str, settings: Settings) -> Column:
     return S.parse_date(F.col(name).cast("string"), settings.date_formats)
 
@@ -286,14 +320,20 @@ def with_customer_state(
     return subs.join(lookup, "customer_id", "left").withColumn("customer_state", state).drop("_out")
 
 
-def subscription_rules(null_end: bool = False, lenient: bool = False, settings: Settings = DEFAULTS) -> list[Q.Rule]:
+def subscription_rules(
+    null_end: bool = False, lenient: bool = False, settings: Settings = DEFAULTS, extra: Sequence[Q.Rule] = ()
+) -> list[Q.Rule]:
     """The rule catalogue over standardised rows with a customer state, in checking order.
 
     A price too large to compute with is fatal under every policy: dropping it would falsify
-    the sums.
+    the sums. ``extra`` rules come last. Rows of excluded and unknown customers are checked
+    further only if the settings keep them.
     """
-    known = F.col("customer_state") == "known"
     state = F.col("customer_state")
+    known = state == "known"
+    for kept, rule in (("excluded", "excluded_customer"), ("unknown", "unknown_customer")):
+        if settings.severity(rule, Q.DROPPED) == Q.MONITOR:
+            known = known | (state == kept)
     customer, start, end = F.col("customer_id"), F.col("start_date"), F.col("end_date")
     start_raw, end_raw, price_raw = F.col("start_date_raw"), F.col("end_date_raw"), F.col("monthly_price_raw")
     fatal = Q.DROPPED if lenient else Q.FATAL
@@ -312,14 +352,16 @@ def subscription_rules(null_end: bool = False, lenient: bool = False, settings:
             Q.DROPPED,
             F.lit(None),
             F.format_string("customer_id '%s' is not a known customer", customer),
+            handed_on=True,
         ),
-        Q.Rule("empty_start_date", known & start_raw.isNull(), fatal, start_raw, F.lit("start_date is empty")),
+        Q.Rule("empty_start_date", known & start_raw.isNull(), fatal, start_raw, F.lit("start_date is empty"), handed_on=True),
         Q.Rule(
             "malformed_start_date",
             known & start_raw.isNotNull() & start.isNull(),
             fatal,
             start_raw,
             F.format_string("start_date '%s' is not a date", start_raw),
+            handed_on=True,
         ),
         Q.Rule(
             "malformed_end_date",
@@ -327,6 +369,7 @@ def subscription_rules(null_end: bool = False, lenient: bool = False, settings:
             Q.REPAIRED,
             end_raw,
             F.format_string("end_date '%s' is not a date - treated as open", end_raw),
+            repair=(("end_date", F.lit(None).cast("date")),),
         ),
         Q.Rule(
             "non_numeric_price",
@@ -334,6 +377,7 @@ def subscription_rules(null_end: bool = False, lenient: bool = False, settings:
             fatal,
             price_raw,
             F.format_string("monthly_price '%s' is not a number", F.coalesce(price_raw, F.lit(""))),
+            handed_on=True,
         ),
         Q.Rule(
             OUT_OF_RANGE,
@@ -341,6 +385,7 @@ def subscription_rules(null_end: bool = False, lenient: bool = False, settings:
             Q.FATAL,
             price_raw,
             F.format_string("monthly_price '%s' is too large", price_raw),
+            stop=(("monthly_price", S.stop_at_price("monthly_price_raw")),),
         ),
         Q.Rule(
             "end_before_start",
@@ -348,6 +393,8 @@ def subscription_rules(null_end: bool = False, lenient: bool = False, settings:
             Q.REPAIRED if null_end else fatal,
             F.concat_ws(" to ", start.cast("string"), end.cast("string")),
             F.lit("end_date before start_date"),
+            repair=(("end_date", F.lit(None).cast("date")),),
+            handed_on=True,
         ),
         Q.Rule(
             "start_before_signup",
@@ -357,12 +404,22 @@ def subscription_rules(null_end: bool = False, lenient: bool = False, settings:
             F.lit("start_date before customer signup_date"),
         ),
     ]
-    return Q.with_severities(rules, settings.severities)
+    for rule, column, corrections in (
+        (PLAN_TYPO, "plan", settings.plan_corrections),
+        (PRICE_WORD, "price", settings.price_corrections),
+    ):
+        if settings.severity(rule, Q.SILENT) != Q.SILENT:
+            wrong = F.col(f"{column}_before")
+            shown = F.format_string("'%s' is a known mistake", wrong)
+            # Parsing has put the corrected value in place.
+            there = (("plan", F.col("plan")),) if rule == PLAN_TYPO else (("monthly_price", F.col("monthly_price")),)
+            rules.append(Q.Rule(rule, known & wrong.isin([w for w, _ in corrections]), Q.REPAIRED, wrong, shown, repair=there))
+    return Q.with_severities([*rules, *extra], settings.severities)
 
 
-def subscription_rule_counts(subject: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def subscription_rule_counts(subject: DataFrame, settings: Settings = DEFAULTS, extra: Sequence[Q.Rule] = ()) -> DataFrame:
     """(rule_id, severity, hits), all rules in one aggregate over stated rows."""
-    rules = subscription_rules(settings=settings)
+    rules = subscription_rules(settings=settings, extra=extra)
     return Q.as_rows(subject.agg(*Q.counters(rules)), rules)
 
 
@@ -413,6 +470,15 @@ def _overlap_findings(known: DataFrame, severity: str, settings: Settings) -> Da
     return Q.findings(overlaps, STAGE_SUBSCRIPTIONS, [rule])
 
 
+def _whole_table(settings: Settings, rule: str, default: str) -> str:
+    """Severity of a rule that looks at several rows, so it cannot decide what becomes of one."""
+    severity = settings.severity(rule, default)
+    allowed = (Q.FATAL, Q.MONITOR, Q.SILENT) if rule == "overlap" else (Q.MONITOR, Q.SILENT)
+    if severity not in allowed:
+        raise ValueError(f"rule {rule} looks at several rows and can only be {' or '.join(allowed)}")
+    return severity
+
+
 def _diagnostics(known: DataFrame, overlap_severity: str, settings: Settings) -> list[DataFrame]:
     spread = plan_price_spread(known).select(
         F.lit(None).cast("long").alias("row_id"), F.lit(None).cast("string").alias("customer_id"), "*"
@@ -426,7 +492,7 @@ def _diagnostics(known: DataFrame, overlap_severity: str, settings: Settings) ->
                 Q.Rule(
                     "price_outlier",
                     F.lit(True),
-                    Q.MONITOR,
+                    _whole_table(settings, "price_outlier", Q.MONITOR),
                     # Plain digits at any size, without the zeros of the scale.
                     F.regexp_replace(F.col("monthly_price").cast("string"), "([.][0-9]+?)0+$", "$1"),
                     F.format_string(
@@ -445,7 +511,7 @@ def _diagnostics(known: DataFrame, overlap_severity: str, settings: Settings) ->
                 Q.Rule(
                     "plan_price_spread",
                     F.lit(True),
-                    Q.MONITOR,
+                    _whole_table(settings, "plan_price_spread", Q.MONITOR),
                     F.col("plan"),
                     F.format_string(
                         "plan '%s' has %d distinct prices (%.2f to %.2f)",
@@ -487,6 +553,7 @@ def clean_subscriptions(
     range_policy: str = "drop",
     settings: Settings = DEFAULTS,
     stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    extra: Sequence[Q.Rule] = (),
 ) -> Outcome:
     """Silver subscriptions and findings.
 
@@ -495,7 +562,8 @@ def clean_subscriptions(
     under the strict policy. ``range_policy`` "null_end" opens an end before its start
     instead of treating the row as broken. ``stage`` (see operators.staging) stores the
     rows with their customer state once for the rows, the gate and all findings, which
-    otherwise plan the same join each for themselves.
+    otherwise plan the same join each for themselves. ``extra`` rules (see operators.findings)
+    see the stated rows; they are counted, gated, reported and acted upon like the others.
     """
     _check_policy(policy)
     if overlap_policy not in ("warn", "strict"):
@@ -507,11 +575,10 @@ def clean_subscriptions(
     stated = with_customer_state(standardise_subscriptions(bronze, settings), reference, excluded, stage)
     if stage is not None:
         stated = stage(stated, "stated_subscriptions")
-    rules = subscription_rules(null_end, lenient=policy != STRICT, settings=settings)
+    rules = subscription_rules(null_end, lenient=policy != STRICT, settings=settings, extra=extra)
     known = stated.where((F.col("customer_state") == "known") & ~S.is_blank("customer_id"))
-    overlaps_fatal = overlap_policy == "strict"
-
-    overlap_severity = Q.FATAL if overlaps_fatal else Q.MONITOR
+    overlap_severity = _whole_table(settings, "overlap", Q.FATAL if overlap_policy == "strict" else Q.MONITOR)
+    overlaps_fatal = overlap_severity == Q.FATAL
 
     def warnings() -> DataFrame:
         diagnostics = _diagnostics(known, overlap_severity, settings)
@@ -519,7 +586,7 @@ def clean_subscriptions(
 
     if policy == STRICT:
         fatal = [r for r in rules if r.severity == Q.FATAL]
-        hits = stated.agg(*Q.counters(fatal)).first().asDict()
+        hits = stated.agg(*Q.counters(fatal)).first().asDict() if fatal else {}
         shown = [Q.findings(stated, STAGE_SUBSCRIPTIONS, fatal)]
         if overlaps_fatal:
             shown.append(_overlap_findings(known, overlap_severity, settings))
@@ -527,20 +594,8 @@ def clean_subscriptions(
         if any(hits.values()):
             _gate("subscriptions", hits, Q.union_all(shown), settings)
 
-    else:
-        # Nobody has counted these yet; the first one met stops the job.
-        stop = S.stop_at_price("monthly_price_raw")
-        checked = F.when((F.col("customer_state") == "known") & F.col(OUT_OF_RANGE), stop).otherwise(F.col("monthly_price"))
-        if policy == FLAG:
-            # The loader names unknown customers itself, with their lines in the silver table.
-            known = stated.where((F.col("customer_state") != "excluded") & ~S.is_blank("customer_id"))
-        known = known.withColumn("monthly_price", checked)
-
-    rows = repair_date_ranges(known) if null_end else known
-    if policy == LENIENT:
-        rows = rows.where(
-            "start_date IS NOT NULL AND monthly_price IS NOT NULL AND (end_date IS NULL OR end_date >= start_date)"
-        )
+    # Only the first price too large that is met stops the other policies: nobody has counted them.
+    rows = D.disposed(stated, rules, policy)
     columns = [*SILVER_COLUMNS]
     if policy == FLAG:
         columns += ["start_date_raw", "monthly_price_raw"]

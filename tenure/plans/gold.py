@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenure.config import DEFAULTS, Settings
+from tenure.config import DEFAULTS, LENIENT, Settings
 from tenure.functions import scalars as S
 from tenure.operators.sequences import with_next
+from tenure.operators import findings as Q
+from tenure.operators.dispositions import dropping_rule
 from tenure.plans.clean import subscription_rules
 from tenure.plans.metrics import active_customers, monthly_churn, monthly_mrr
 
@@ -61,25 +65,17 @@ def monthly_aggregates(subs: DataFrame, settings: Settings = DEFAULTS) -> DataFr
     )
 
 
-def quarantine(stated: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Rows that cannot feed the metrics, with the first rule they break.
+def quarantine(
+    stated: DataFrame, settings: Settings = DEFAULTS, null_end: bool = False, extra: Sequence[Q.Rule] = ()
+) -> DataFrame:
+    """Rows that cannot feed the metrics, with the first rule that leaves them out.
 
     ``stated`` is the output of clean.with_customer_state. Write it partitioned by rule_id.
     """
-    blocking = {
-        "excluded_customer",
-        "empty_customer_id",
-        "unknown_customer",
-        "empty_start_date",
-        "malformed_start_date",
-        "non_numeric_price",
-        "price_out_of_range",
-        "end_before_start",
-    }
-    reason = F.coalesce(
-        *[F.when(r.hit, r.rule_id) for r in subscription_rules(settings=settings) if r.rule_id in blocking],
-        F.when(F.col("monthly_price") < 0, "negative_price"),
-    )
+    rules = subscription_rules(null_end, lenient=True, settings=settings, extra=extra)
+    reason = dropping_rule(rules, LENIENT)
+    if settings.severity("negative_price", Q.DROPPED) in (Q.FATAL, Q.DROPPED):
+        reason = F.coalesce(reason, F.when(F.col("monthly_price") < 0, "negative_price"))
     return (
         stated.withColumn("rule_id", reason)
         .where("rule_id IS NOT NULL")

@@ -73,7 +73,9 @@ def _parse_customers(raw: DataFrame, settings: Settings) -> DataFrame:
 def load_customers(raw: DataFrame, settings: Settings = DEFAULTS, lines: bool = True) -> Outcome:
     """Valid customers: the first *valid* row of each id.
 
-    Messages name text-file lines, counted for the warnings alone; row ids without ``lines``.
+    Messages name text-file lines, counted for the warnings alone; row ids without ``lines``. Of
+    the rule table only the severity of a missing country applies: ids and signup dates are what
+    the metrics are made of.
     """
     require_columns(raw, CUSTOMER_COLUMNS, "customers")
     parsed = _parse_customers(raw, settings)
@@ -91,6 +93,9 @@ def load_customers(raw: DataFrame, settings: Settings = DEFAULTS, lines: bool =
         Q.Rule("invalid_customer", invalid, Q.DROPPED, F.col("signup_date_raw"), Q.text("invalid_customer", line, reason)),
         Q.Rule("missing_country", kept, Q.MONITOR, F.lit(None), Q.text("missing_country", F.col("customer_id"))),
     ]
+    rules = Q.with_severities(rules, _applied(settings, "missing_country"))
+    if rules[-1].severity in (Q.FATAL, Q.DROPPED):
+        rows = rows.where("country <> ''")
     return Outcome(
         rows.select("row_id", "customer_id", "signup_date", "country"),
         lambda: Q.findings(
@@ -103,6 +108,11 @@ def load_customers(raw: DataFrame, settings: Settings = DEFAULTS, lines: bool =
     )
 
 
+def _applied(settings: Settings, *rules: str) -> list[tuple[str, str]]:
+    """What the rule table says about these rules; the loader cannot raise, so fatal means dropped."""
+    return [(r, Q.DROPPED if s == Q.FATAL else s) for r, s in settings.severities if r in rules]
+
+
 def _parse_subscriptions(raw: DataFrame, settings: Settings) -> DataFrame:
     typed = raw.schema["start_date"].dataType == T.DateType()
     values = {
@@ -132,27 +142,38 @@ def load_subscriptions(
 
     Pass ``customers`` as a stored table: Spark can then split the rows of a customer with
     very many subscriptions (see operators.staging). Messages name text-file lines, counted for
-    the warnings alone; row ids without ``lines``.
+    the warnings alone; row ids without ``lines``. The rule table may keep unknown customers and
+    negative prices (monitor) and drop malformed ends; a start, a price and an end that is not
+    before the start are what the metrics are made of, so the rules about them always hold.
     """
     require_columns(raw, SUBSCRIPTION_COLUMNS, "subscriptions")
     parsed = _parse_subscriptions(raw, settings)
     ids = customers.select("customer_id")
     start, end, price = F.col("start_date"), F.col("end_date"), F.col("monthly_price")
     in_order = end.isNull() | (end >= start)
-    rows = parsed.where(start.isNotNull() & (price >= 0) & in_order).join(ids, "customer_id", "left_semi")
+    given = dict(_applied(settings, "unknown_customer", "malformed_end_date", "negative_price"))
+    priced = price.isNotNull() if given.get("negative_price") == Q.MONITOR else price >= 0
+    malformed = F.col("end_date_raw").isNotNull() & end.isNull()
+    rows = parsed.where(start.isNotNull() & priced & in_order)
+    if given.get("malformed_end_date") == Q.DROPPED:
+        rows = rows.where(~malformed)
+    if given.get("unknown_customer") != Q.MONITOR:
+        rows = rows.join(ids, "customer_id", "left_semi")
 
     line, customer = F.col("line_no"), F.col("customer_id")
     unknown = F.col("_known").isNull()
-    usable = ~unknown & start.isNotNull()
+    owned = F.lit(True) if given.get("unknown_customer") == Q.MONITOR else ~unknown
+    usable = owned & start.isNotNull()
     not_a_date = F.concat(F.lit("start_date '"), F.coalesce("start_date_raw", F.lit("")), F.lit("' is not a date"))
     rules = [
         Q.Rule("unknown_customer", unknown, Q.DROPPED, F.lit(None), Q.text("unknown_customer", customer, line)),
-        Q.Rule("invalid_start_date", ~unknown & start.isNull(), Q.DROPPED, F.col("start_date_raw"), Q.text("invalid_subscription", line, not_a_date)),
-        Q.Rule("malformed_end_date", usable & F.col("end_date_raw").isNotNull() & end.isNull(), Q.REPAIRED, F.col("end_date_raw"), Q.text("malformed_end_date", line)),
+        Q.Rule("invalid_start_date", owned & start.isNull(), Q.DROPPED, F.col("start_date_raw"), Q.text("invalid_subscription", line, not_a_date)),
+        Q.Rule("malformed_end_date", usable & malformed, Q.REPAIRED, F.col("end_date_raw"), Q.text("malformed_end_date", line), repair=(("end_date", end),)),
         Q.Rule("non_numeric_price", usable & price.isNull(), Q.DROPPED, F.col("monthly_price_raw"), Q.text("non_numeric_price", F.col("monthly_price_raw"), line)),
         Q.Rule("negative_price", usable & (price < 0), Q.DROPPED, F.col("monthly_price_raw"), Q.text("invalid_subscription", line, F.lit("monthly_price is negative"))),
-        Q.Rule("end_before_start", usable & (price >= 0) & (end < start), Q.DROPPED, F.concat_ws(" to ", start.cast("string"), end.cast("string")), Q.text("end_before_start", customer)),
+        Q.Rule("end_before_start", usable & priced & (end < start), Q.DROPPED, F.concat_ws(" to ", start.cast("string"), end.cast("string")), Q.text("end_before_start", customer)),
     ]
+    rules = Q.with_severities(rules, list(given.items()))
 
     def warnings() -> DataFrame:
         numbered = _parse_subscriptions(_numbered(raw, lines), settings)

@@ -6,12 +6,15 @@ import golden
 import pytest
 from pyspark.sql import functions as F
 
+from tenure.config import DEFAULTS
 from tenure.errors import DataQualityError
+from tenure.operators.findings import DROPPED, Rule
 from tenure.operators.sequences import overlaps_running_max
-from tenure.plans import clean, explore
-from tenure.plans.report import first_warnings, run
+from tenure.plans import clean, explore, registry
+from tenure.plans.report import first_warnings, open_run, run
 from tenure.schemas import CUSTOMER_COLUMNS, SUBSCRIPTION_COLUMNS
-from tenure.sources.tables import read_csv, read_table, write_table
+from tenure.sources.files import current_run, publish
+from tenure.sources.tables import bad_row_findings, parse_csv, read_csv, read_table, write_table
 
 
 @pytest.fixture(scope="module")
@@ -26,9 +29,12 @@ def do_run(spark, bronze, out, **options):
     return run(spark, f"{bronze}/customers.csv", f"{bronze}/subscriptions.csv", str(out), **options)
 
 
+def run_folder(out):
+    return out / "runs" / json.loads((out / "current.json").read_text())["run"]
+
+
 def read_document(out):
-    """The part files in the order of their names are one JSON text."""
-    return json.loads("".join(p.read_text() for p in sorted((out / "report").glob("part-*"))))
+    return json.loads((run_folder(out) / "report.json").read_text())
 
 
 @pytest.fixture(scope="module")
@@ -44,6 +50,8 @@ def test_report_document(lenient):
     assert [m["mrr"] for m in report["monthly_mrr"]] == golden.MRR
     assert [(m["month"], m["churned_count"]) for m in report["monthly_churn"]] == list(zip(golden.MONTHS, golden.CHURN))
     assert [(m["cohort_month"], m["retention_rate_3m"]) for m in report["cohort_retention"]] == list(zip(golden.MONTHS, golden.RETENTION))
+    text = (run_folder(lenient[2]) / "report.json").read_text()
+    assert text == json.dumps(report, indent=2, ensure_ascii=False) + "\n"
     assert list(report["cohort_retention"][0]) == ["cohort_month", "cohort_size", "active_after_3_months", "retention_rate_3m"]
 
 
@@ -67,7 +75,7 @@ def test_warnings_table_also_holds_the_cleaning_findings(lenient):
 
 def test_silver_csv_can_be_loaded_without_preprocessing(spark, lenient, tmp_path):
     _, report, out = lenient
-    silver = out / "silver"
+    silver = run_folder(out) / "silver"
     for name in ("customers", "subscriptions"):
         (tmp_path / f"{name}.csv").write_text(
             "\n".join(sorted({line for p in (silver / f"{name}_csv").glob("part-*") for line in p.read_text().splitlines()}, key=lambda l: not l.startswith("row_id")))
@@ -95,6 +103,94 @@ def test_a_long_warning_list_is_whole(spark, bronze, tmp_path):
     assert len(found) == 10_050
 
 
+def test_a_killed_run_leaves_the_former_one(spark, bronze, lenient, tmp_path):
+    first = do_run(spark, bronze, tmp_path, policy="lenient", run_id="one")
+    before = read_document(tmp_path)
+
+    def killed(customers, subs, settings):
+        raise RuntimeError("lost")
+
+    for broken in ("two", "three"):
+        with pytest.raises(RuntimeError, match="lost"):
+            do_run(spark, bronze, tmp_path, policy="lenient", run_id=broken, metrics={"broken": killed})
+        again = open_run(spark, str(tmp_path))
+        assert again.path == first.path and read_document(tmp_path) == before
+        assert (again.customers.count(), again.subscriptions.count()) == (38, 50)
+        assert again.warnings.count() == lenient[0].warnings.count()
+
+
+def test_the_run_before_stays_and_older_ones_go(spark, tmp_path):
+    for name in ("a", "b", "c"):
+        folder = tmp_path / "runs" / name
+        folder.mkdir(parents=True)
+        (folder / "x").write_text(name)
+        publish(spark, str(tmp_path), name)
+    assert sorted(p.name for p in (tmp_path / "runs").iterdir()) == ["b", "c"]
+    assert current_run(spark, str(tmp_path)).endswith("/runs/c")
+    with pytest.raises(DataQualityError, match="No run"):
+        current_run(spark, str(tmp_path / "none"))
+
+
+def test_added_metrics_and_rules_reach_the_report(spark, bronze, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "METRICS", dict(registry.METRICS))
+    monkeypatch.setattr("tenure.plans.report.METRICS", registry.METRICS)
+    monkeypatch.setattr(registry, "RULES", {stage: [] for stage in registry.RULES})
+
+    @registry.metric("plans")
+    def plans(customers, subs, settings):
+        return subs.groupBy("plan").agg(F.count(F.lit(1)).alias("n"), F.max("end_date").alias("last"))
+
+    @registry.rule(clean.STAGE_SUBSCRIPTIONS)
+    def dear(settings):
+        return Rule("dear", F.col("monthly_price") >= 50, DROPPED, F.col("monthly_price_raw"), F.lit("too dear"))
+
+    result = do_run(spark, bronze, tmp_path, policy="lenient")
+    assert [list(r) for r in read_document(tmp_path)["plans"]] == [["plan", "n", "last"]]
+    dropped = result.warnings.where("rule_id = 'dear'").count()
+    assert dropped == 9 and spark.read.parquet(f"{result.path}/quarantine").where("rule_id = 'dear'").count() == dropped
+    assert spark.read.parquet(f"{result.path}/silver/subscriptions").where("monthly_price >= 50").count() == 0
+    with pytest.raises(ValueError, match="already"):
+        registry.rule(clean.STAGE_SUBSCRIPTIONS)(lambda settings: dear(settings)._replace(rule_id="overlap"))
+        registry.built(clean.STAGE_SUBSCRIPTIONS, DEFAULTS)
+
+
+RAGGED = 'customer_id,signup_date,country\nC1,2024-01-01,NL\nC2,2024-01-01,NL,x\nC3,2024-01-01,"N\nL"\nC4,2024-01-01\nC5,2024-01-01,"a, b"\nC6,2024-01-01,5" pipe\n'
+
+
+def test_bad_rows_are_findings_with_their_text(spark, tmp_path):
+    (tmp_path / "customers.csv").write_text(RAGGED)
+    path = f"{tmp_path}/customers.csv"
+    parsed = parse_csv(spark, path, CUSTOMER_COLUMNS, "customers", dense_ids=True)
+    assert [(r["row_id"], r["customer_id"], r["country"]) for r in parsed.rows.orderBy("row_id").collect()] == [
+        (0, "C1", "NL"),
+        (4, "C4", None),
+        (5, "C5", "a, b"),
+        (6, "C6", '5" pipe'),
+    ]
+    found = bad_row_findings(parsed.bad, "customers").orderBy("row_id").collect()
+    assert [(r["rule_id"], r["row_id"], r["detail"]) for r in found] == [
+        ("ragged_row", 1, "C2,2024-01-01,NL,x"),
+        ("cut_quote", 2, 'C3,2024-01-01,"N'),
+        ("cut_quote", 3, 'L"'),
+    ]
+    with pytest.raises(DataQualityError, match="2 rows have a line break.*1 rows have more fields"):
+        read_csv(spark, path, CUSTOMER_COLUMNS, "customers")
+    whole = parse_csv(spark, path, CUSTOMER_COLUMNS, "customers", multiline=True)
+    assert {r["customer_id"]: r["country"] for r in whole.rows.collect()} == {"C1": "NL", "C3": "N\nL", "C4": None, "C5": "a, b", "C6": '5" pipe'}
+    assert [r["raw"].strip() for r in whole.bad.collect()] == ["C2,2024-01-01,NL,x"]
+
+
+def test_a_lenient_run_survives_bad_rows(spark, bronze, tmp_path):
+    (tmp_path / "customers.csv").write_text(golden.CUSTOMERS_CSV.rstrip("\n") + "\nC900,2024-01-01,NL,more\n")
+    (tmp_path / "subscriptions.csv").write_text(golden.SUBSCRIPTIONS_CSV)
+    result = do_run(spark, tmp_path, tmp_path / "out", policy="lenient")
+    assert result.customers.count() == 38
+    assert result.warnings.where("stage = 'read_customers'").first()["detail"] == "C900,2024-01-01,NL,more"
+    assert any("C900" in m for m in read_document(tmp_path / "out")["metadata"]["data_quality_warnings"])
+    with pytest.raises(DataQualityError, match="1 rows have more fields"):
+        do_run(spark, tmp_path, tmp_path / "strict")
+
+
 def test_known_figures(spark, bronze):
     raw_c = read_csv(spark, f"{bronze}/customers.csv", CUSTOMER_COLUMNS, "customers")
     raw_s = read_csv(spark, f"{bronze}/subscriptions.csv", SUBSCRIPTION_COLUMNS, "subscriptions")

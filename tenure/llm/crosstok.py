@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain, groupby
@@ -46,7 +47,11 @@ BLOCK_RECORDS = 1 << 20
 #: Packed bytes of the runs that one merging task takes.
 SLICE_BYTES = 32 << 20
 #: Bytes of text that a task encodes at a time, and stretches of text that it remembers.
-GROUP_BYTES, KNOWN = 1 << 20, 200_000
+GROUP_BYTES, KNOWN = 1 << 20, 250_000
+#: Longer stretches are encoded by the library that takes time in proportion.
+SHORT = 1000
+# Fixed value: what the first vocabulary splits text by, before it merges.
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _BLANK = "▁"
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 
@@ -57,8 +62,8 @@ class Stretch(NamedTuple):
     n_a: int
     n_b: int
     n_groups: int
-    #: One number per link, second id in the upper half.
-    links: tuple[int, ...]
+    #: 64-bit numbers, one per link, second id in the upper half.
+    links: bytes
     groups: str
 
 
@@ -67,6 +72,7 @@ class Codec:
 
     def __init__(self, first: str, second: str):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(first)
@@ -78,28 +84,46 @@ class Codec:
         for name, i in names.items():
             self.a_bytes[i] = bytes(level[c] for c in name) if all(c in level for c in name) else name.encode()
         self.b_bytes = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
+        # The same vocabulary as ranks: five times as fast, but not on long stretches.
+        special = {t.content for t in self.a.get_added_tokens_decoder().values()}
+        ranks = {self.a_bytes[i]: i for name, i in names.items() if name not in special}
+        self.a_short = tiktoken.Encoding("first", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.a_text, self.b_text = list(map(str, range(len(self.a_bytes)))), list(map(str, range(len(self.b_bytes))))
         self.a_size = [len(x) for x in self.a_bytes]
         self.b_size = [len(x) for x in self.b_bytes]
         self.known: dict[str, Stretch | None] = {}
+        self.former: dict[str, Stretch | None] = {}
 
     def learn(self, parts: list[str]) -> None:
-        """Encode and align stretches that are not known yet."""
-        new = [p for p in dict.fromkeys(parts) if p not in self.known]
-        if len(self.known) + len(new) > KNOWN:
-            self.known.clear()
-            new = list(dict.fromkeys(parts))
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            firsts = self.a.encode_batch([" " + p for p in some], add_special_tokens=False)
-            for part, first, b in zip(some, firsts, self.b.encode(some)):
-                self.known[part] = self._aligned(part, first.ids, b)
+        """Have all these stretches in ``known``; what has not been met for long is forgotten."""
+        if len(self.known) > KNOWN:
+            self.former, self.known = self.known, {}
+        new = []
+        for part in dict.fromkeys(parts):
+            if part not in self.known:
+                if part in self.former:
+                    self.known[part] = self.former[part]
+                else:
+                    new.append(part)
+        for part, b in zip(new, self.b.encode(new, num_threads=1)):
+            self.known[part] = self._aligned(part, self.first_ids(" " + part), b)
+
+    def first_ids(self, text: str) -> list[int]:
+        if len(text) <= SHORT:
+            return self.a_short.encode_ordinary(text)
+        return self.a.encode(text, add_special_tokens=False).ids
 
     def _aligned(self, part: str, a: list[int], b: list[int]) -> Stretch | None:
         whole = b" " + part.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
+        if b"".join([self.a_bytes[i] for i in a]) != whole or b"".join([self.b_bytes[i] for i in b]) != whole:
             return None
         links, groups = align(a, b, self.a_size, self.b_size)
-        return Stretch(len(a), len(b), len(groups), tuple(y << 32 | x for x, y in links), groups_text(a, b, groups))
+        at, bt = self.a_text, self.b_text
+        shown = [
+            f"{at[a[i]]}|{bt[b[k]]}" if j - i == 1 == m - k else ",".join([at[x] for x in a[i:j]]) + "|" + ",".join([bt[x] for x in b[k:m]])
+            for i, j, k, m in groups
+        ]
+        return Stretch(len(a), len(b), len(groups), array("Q", links).tobytes(), ";".join(shown))
 
 
 def _byte_level() -> dict[str, int]:
@@ -124,32 +148,29 @@ def codec(first: str, second: str) -> Codec:
 _CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 
 
-def align(a: list[int], b: list[int], a_size: list[int], b_size: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int]]]:
-    """(first id, second id) of all links in order, and the groups as slices of both."""
+def align(a: list[int], b: list[int], a_size: list[int], b_size: list[int]) -> tuple[list[int], list[tuple[int, int, int, int]]]:
+    """All links in order, each one number with the second id in the upper half; and the groups as slices of both."""
     links, groups = [], []
     i = j = from_i = from_j = 0
     a_end, b_end = a_size[a[0]], b_size[b[0]]
     while True:
         # The stretch up to the nearer end belongs to one token of each side.
-        links.append((a[i], b[j]))
-        step = (a_end <= b_end, b_end <= a_end)
-        i, j = i + step[0], j + step[1]
-        if step[0] and step[1]:
+        links.append(b[j] << 32 | a[i])
+        if a_end == b_end:
+            i, j = i + 1, j + 1
             groups.append((from_i, i, from_j, j))
+            if i == len(a):
+                return links, groups
             from_i, from_j = i, j
-        if i == len(a):
-            return links, groups
-        if step[0]:
+            a_end, b_end = a_end + a_size[a[i]], b_end + b_size[b[j]]
+        elif a_end < b_end:
+            i += 1
             a_end += a_size[a[i]]
-        if step[1]:
+        else:
+            j += 1
             b_end += b_size[b[j]]
 
 
-def groups_text(a: list[int], b: list[int], groups: list[tuple[int, int, int, int]]) -> str:
-    x, y = list(map(str, a)), list(map(str, b))
-    return ";".join([",".join(x[i:j]) + "|" + ",".join(y[k:m]) for i, j, k, m in groups])
-
-
 # A pair is one number: the second id in the upper half, so that order is by it first.
 _SHIFT = np.uint64(32)
 
@@ -181,7 +202,7 @@ class _Block:
         if not found or None in found:
             self.digests.append((0, 0, 0, 0, ""))
             return
-        linked = np.fromiter(chain.from_iterable([s.links for s in found]), np.uint64)
+        linked = np.frombuffer(b"".join([s.links for s in found]), np.uint64)
         shown = hashlib.sha256(";".join([s.groups for s in found]).encode()).hexdigest()
         sizes = (sum([s.n_a for s in found]), sum([s.n_b for s in found]), sum([s.n_groups for s in found]))
         self.digests.append((*sizes, len(linked), shown))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -91,6 +92,15 @@ def test_stretches_change_nothing():
     assert not any(crosstok._BLANK in both.b.id_to_piece(i).lstrip(crosstok._BLANK) for i in range(both.b.get_piece_size()))
 
 
+def test_both_forms_of_the_first_vocabulary_agree():
+    both = crosstok.codec(BYTE_MODEL, PIECE_MODEL)
+    rnd = random.Random(9)
+    letters = "aeiournst'sdm  \n\t.,;()[]<|>0123456789éßñ日本語😀\u2003\xa0\u0301ǅ"
+    for _ in range(3000):
+        text = " " + "".join(rnd.choice(letters) for _ in range(rnd.randint(1, 60)))
+        assert both.a_short.encode_ordinary(text) == both.a.encode(text, add_special_tokens=False).ids
+
+
 def test_packing():
     rng = np.random.default_rng(0)
     for top in (1, 200, 70_000, 2**63):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import importlib.util
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 
 import oracles
 from tenure.functions import scalars as S
-from tenure.operators import findings
+from tenure.config import DEFAULTS, LENIENT
+from tenure.operators import dispositions, findings, prefilter, sketches
 from tenure.operators.ordered import first_per_key
+from tenure.operators.quantiles import QUARTILES
 from tenure.operators.staging import staged
 from tenure.operators.sequences import overlaps_adjacent, overlaps_running_max
 from tenure.plans import clean, explore, gold, load, metrics, report
@@ -140,6 +143,51 @@ def _dq_warnings(t: Tables) -> DataFrame:
     )
 
 
+#: A rule table of one's own: two rules let rows pass, three leave out what is else repaired, kept or corrected.
+RULE_TABLE = replace(
+    DEFAULTS,
+    severities=(
+        ("end_before_start", findings.MONITOR),
+        ("non_numeric_price", findings.MONITOR),
+        ("malformed_end_date", findings.DROPPED),
+        ("start_before_signup", findings.DROPPED),
+        ("plan_typo", findings.DROPPED),
+    ),
+)
+
+
+def _own_rules(t: Tables) -> clean.Outcome:
+    return clean.clean_subscriptions(
+        t.bronze_subscriptions,
+        reference=t.customers,
+        excluded=t.cleaned_customers.removed,
+        policy=LENIENT,
+        settings=RULE_TABLE,
+        stage=staged,
+    )
+
+
+def _rule_table(t: Tables) -> DataFrame:
+    rules = clean.subscription_rules(lenient=True, settings=RULE_TABLE)
+    return dispositions.rule_table(_own_rules(t).stated, rules, LENIENT)
+
+
+def _row_fates(t: Tables) -> DataFrame:
+    rules = clean.subscription_rules(lenient=True, settings=RULE_TABLE)
+    fate = dispositions.fate(rules, LENIENT).alias("fate")
+    return _own_rules(t).stated.groupBy(fate).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _sketched_prices(t: Tables) -> DataFrame:
+    """Quartiles by sketches merged from months; are their ranks within the stated error."""
+    months = t.staged_repaired.withColumn("month", S.month_key("start_date"))
+    whole = sketches.merged(sketches.sketched(months, ["plan", "month"], "monthly_price"), ["plan"])
+    ranks = sketches.with_true_ranks(t.staged_repaired, ["plan"], "monthly_price", sketches.quantiles(whole), QUARTILES)
+    error = sketches.rank_error()
+    within = (F.col("below") - error <= F.col("prob")) & (F.col("prob") <= F.col("up_to") + error)
+    return ranks.select("plan", "prob", "size", within.alias("within_error"))
+
+
 def _raw_loaded(t: Tables) -> clean.Outcome:
     """Subscriptions loaded straight from bronze, with line numbers in the messages."""
     known = staged(load.load_customers(t.bronze_customers).rows, "loaded_customers")
@@ -217,6 +265,16 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "load_subscriptions": lambda t: _prices_as_double(_raw_loaded(t).rows),
     "load_subscriptions_warnings": lambda t: _raw_loaded(t).warnings,
     "subscriptions_quarantine": lambda t: gold.quarantine(t.stated),
+    "rule_table": _rule_table,
+    "row_fates": _row_fates,
+    "silver_by_rule_table": lambda t: _prices_as_double(_own_rules(t).rows),
+    "quarantine_by_rule_table": lambda t: gold.quarantine(_own_rules(t).stated, RULE_TABLE),
+    "prefiltered_known": lambda t: prefilter.known_rows(t.standard_subscriptions, t.customers, "customer_id").select(
+        "row_id", "customer_id"
+    ),
+    "prefiltered_orphans": lambda t: prefilter.unknown_rows(t.standard_subscriptions, t.customers, "customer_id").select(
+        "row_id", "customer_id", "start_date_raw", "plan"
+    ),
     # metrics
     "metric_month_range": lambda t: metrics.month_range(t.valid),
     "monthly_mrr": lambda t: metrics.monthly_mrr(t.valid),
@@ -241,6 +299,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "duration_histogram": lambda t: explore.duration_histogram(t.staged_repaired, AS_OF),
     "price_stats": lambda t: explore.price_stats(t.staged_repaired),
     "plan_price_stats": lambda t: explore.plan_price_stats(t.staged_repaired),
+    "price_sketches": _sketched_prices,
     "price_histogram": lambda t: explore.price_histogram(t.staged_repaired),
     "country_counts": lambda t: explore.country_counts(t.bronze_customers),
     "country_variants": lambda t: explore.country_variants(t.bronze_customers),

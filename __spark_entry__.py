@@ -7,6 +7,8 @@ with the parquet tables they come from.
 from __future__ import annotations
 
 import importlib.util
+import uuid
+import warnings
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property
@@ -18,11 +20,12 @@ import oracles
 from tenure.functions import scalars as S
 from tenure.config import DEFAULTS, LENIENT
 from tenure.operators import dispositions, findings, prefilter, sketches
+from tenure.operators.clustered import Clustered, write_clustered
 from tenure.operators.ordered import first_per_key
 from tenure.operators.quantiles import QUARTILES
-from tenure.operators.staging import staged
+from tenure.operators.staging import staged, staging_folder
 from tenure.operators.sequences import overlaps_adjacent, overlaps_running_max
-from tenure.plans import clean, explore, gold, load, metrics, report
+from tenure.plans import clean, explore, gold, load, metrics, report, stored
 from tenure.schemas import SUBSCRIPTION_COLUMNS
 from tenure.session import configure
 from tenure.sources import demo
@@ -109,6 +112,19 @@ class Tables:
     def staged_valid(self) -> DataFrame:
         return staged(self.valid, "valid")
 
+    @cached_property
+    def stored_valid(self) -> Clustered:
+        """Valid subscriptions stored by customer."""
+        return self._stored(self.staged_valid)
+
+    @cached_property
+    def stored_repaired(self) -> Clustered:
+        return self._stored(self.staged_repaired)
+
+    def _stored(self, rows: DataFrame) -> Clustered:
+        path = f"{staging_folder(self.spark)}/tenure/clustered-{uuid.uuid4().hex}"
+        return write_clustered(rows, path, ("start_date", "row_id"))
+
     @cached_property
     def staged_repaired(self) -> DataFrame:
         return staged(self.repaired.select("row_id", "customer_id", "start_date", "end_date", "plan", "monthly_price"), "repaired")
@@ -269,6 +285,12 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "row_fates": _row_fates,
     "silver_by_rule_table": lambda t: _prices_as_double(_own_rules(t).rows),
     "quarantine_by_rule_table": lambda t: gold.quarantine(_own_rules(t).stated, RULE_TABLE),
+    "stored_gaps": lambda t: stored.gaps(t.stored_repaired).select(
+        "row_id", "customer_id", "start_date", "end_date", "next_start", "gap_days"
+    ),
+    "stored_overlaps_adjacent": lambda t: stored.overlaps_adjacent(t.stored_valid),
+    "stored_churn": lambda t: stored.monthly_churn(t.stored_valid),
+    "stored_retention": lambda t: stored.cohort_retention(t.customers, t.stored_valid),
     "prefiltered_known": lambda t: prefilter.known_rows(t.standard_subscriptions, t.customers, "customer_id").select(
         "row_id", "customer_id"
     ),
@@ -330,7 +352,11 @@ def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]
     """Queries and SQL of the training-data operators, none where their folder is gone."""
     if not (importlib.util.find_spec("tenure.llm") and importlib.util.find_spec("tenure.llm.queries")):
         return {}, {}
-    from tenure.llm import queries as training, sql
+    try:
+        from tenure.llm import queries as training, sql
+    except ImportError as missing:
+        warnings.warn(f"the training-data queries are left out: {missing}", stacklevel=2)
+        return {}, {}
 
     found = dict(training.QUERIES)
     if importlib.util.find_spec("corpus_pipeline"):

@@ -404,6 +404,12 @@ _QUERIES: dict[str, str] = {
             WHEN end_date < start_date THEN 'end_before_start'
             WHEN monthly_price < 0 THEN 'negative_price' END AS rule_id FROM stated)
         WHERE rule_id IS NOT NULL""",
+    "stored_gaps": "SELECT row_id, customer_id, start_date, end_date, next_start, gap_days FROM gaps",
+    "stored_overlaps_adjacent": "SELECT * FROM overlaps_adj",
+    "stored_churn": "SELECT * FROM churn",
+    "stored_retention": f"""SELECT cohort_month, count(*) AS cohort_size, count(*) FILTER (WHERE kept) AS active_after_3_months,
+        round(count(*) FILTER (WHERE kept) / CAST(count(*) AS DOUBLE), 4) AS retention_rate_3m
+        FROM (SELECT cohort_month, {_RETAINED.format(subs='valid')} AS kept FROM targets t) GROUP BY cohort_month""",
     "prefiltered_known": "SELECT row_id, customer_id FROM subs WHERE customer_id IN (SELECT customer_id FROM silver_c)",
     "prefiltered_orphans": """SELECT row_id, customer_id, start_date_raw, plan FROM subs
         WHERE NOT EXISTS (SELECT 1 FROM silver_c c WHERE c.customer_id = subs.customer_id)""",

@@ -26,6 +26,8 @@ from tenure.operators.staging import staged
 
 MAX_HOT_KEYS = 1 << 16
 BLOCK_BITS = 20
+#: No key has so many rows: for tables whose hot keys are kept elsewhere.
+NEVER = 1 << 62
 
 _CELL = ("_day", "_block")
 
@@ -38,6 +40,14 @@ def hot_keys(rows: DataFrame, key: str, hot_rows: int) -> DataFrame:
     return sizes.where(F.col("_n") > limit).select(key)
 
 
+def _hot(rows: DataFrame, key: str, hot_rows: int) -> DataFrame | None:
+    """The written list of hot keys, None if there are none."""
+    if hot_rows >= NEVER:
+        return None
+    hot = staged(hot_keys(rows, key, hot_rows), "hot_keys")
+    return None if hot.isEmpty() else hot
+
+
 def _with_cells(rows: DataFrame, key: str, row_id: str, day: str, hot: DataFrame, block_bits: int):
     """(all rows with their cell, null for ordinary keys; the rows of hot keys only)."""
     hot = F.broadcast(hot)
@@ -89,8 +99,8 @@ def next_in_order(
 
     ``value`` must start with (day, row_id), so that the smallest later value is the next row.
     """
-    hot = staged(hot_keys(rows, key, hot_rows), "hot_keys")
-    if hot.isEmpty():
+    hot = _hot(rows, key, hot_rows)
+    if hot is None:
         return rows.withColumn(name, F.lead(value).over(Window.partitionBy(key).orderBy(day, row_id)))
     every, hot_only = _with_cells(rows, key, row_id, day, hot, block_bits)
     w = Window.partitionBy(key, *_CELL).orderBy(day, row_id)
@@ -112,9 +122,9 @@ def greatest_before(
     block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """Add ``name``: the greatest ``value`` over all earlier rows of the same key."""
-    hot = staged(hot_keys(rows, key, hot_rows), "hot_keys")
+    hot = _hot(rows, key, hot_rows)
     earlier = (Window.unboundedPreceding, -1)
-    if hot.isEmpty():
+    if hot is None:
         w = Window.partitionBy(key).orderBy(day, row_id).rowsBetween(*earlier)
         return rows.withColumn(name, F.max(value).over(w))
     every, hot_only = _with_cells(rows, key, row_id, day, hot, block_bits)

@@ -75,12 +75,9 @@ def churn_events(subs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     )
 
 
-def monthly_churn(subs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Churn events per month of their end date, zero-filled over the month range.
-
-    Events and range come out of the same aggregate, so the input is read once.
-    """
-    per_month = (
+def churn_per_month(subs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """(first_month, churned_count, lo, hi); rows without an event have no month and only a range."""
+    return (
         _next_day_start(customer_days(subs))
         .withColumn("first_month", F.when(_is_churn(settings), month_start("last_end")))
         .groupBy("first_month")
@@ -90,6 +87,10 @@ def monthly_churn(subs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
             month_start(F.greatest(F.max("start_date"), F.max("last_closed"))).alias("hi"),
         )
     )
+
+
+def churn_over_months(per_month: DataFrame) -> DataFrame:
+    """(month, churned_count) for every month of the range."""
     # Rows without an event only stretch the range.
     cells = per_month.select(
         F.explode(
@@ -104,6 +105,14 @@ def monthly_churn(subs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+def monthly_churn(subs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Churn events per month of their end date, zero-filled over the month range.
+
+    Events and range come out of the same aggregate, so the input is read once.
+    """
+    return churn_over_months(churn_per_month(subs, settings))
+
+
 def retention_targets(customers: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Cohort month and the date on which retention is tested."""
     return customers.select(
@@ -132,9 +141,13 @@ def with_retained(customers: DataFrame, subs: DataFrame, settings: Settings = DE
 
 def cohort_retention(customers: DataFrame, subs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Share of each signup month that is active three months after signup."""
+    return retention_by_cohort(with_retained(customers, subs, settings))
+
+
+def retention_by_cohort(retained: DataFrame) -> DataFrame:
     active = F.count_if("retained")
     return (
-        with_retained(customers, subs, settings)
+        retained
         .groupBy("cohort_month")
         .agg(
             F.count(F.lit(1)).alias("cohort_size"),

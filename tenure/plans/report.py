@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenure.config import DEFAULTS, FLAG, LENIENT, STRICT, Settings
+from tenure.operators.clustered import each_part, read_whole, write_clustered
 from tenure.operators.findings import union_all
 from tenure.operators.ordered import positions
 from tenure.operators.staging import staged, staging_root
@@ -253,12 +254,15 @@ def full_run(
     loaded_customers = spark.read.parquet(f"{output_path}/loaded/customers")
     require_rows(loaded_customers, "customers")
     subs = load.load_subscriptions(raw_subs, loaded_customers, settings, lines)
-    write_table(subs.rows, f"{output_path}/loaded/subscriptions")
-    loaded_subs = spark.read.parquet(f"{output_path}/loaded/subscriptions")
+    # Stored by customer: overlaps, and whoever opens the run, go along histories without a shuffle.
+    stored = write_clustered(
+        staged(subs.rows, "loaded_subscriptions"), f"{output_path}/loaded/subscriptions", ("start_date", "row_id"), settings=settings
+    )
+    loaded_subs = stored.ordinary.unionByName(stored.hot)
     require_rows(loaded_subs, "subscriptions")
 
     # One plan per stage: a single union would be planned again after each of its shuffles.
-    overlaps = load.overlap_warnings(loaded_subs, settings)
+    overlaps = each_part(stored, load.overlap_warnings, settings)
     mode = "overwrite"
     for found in (*cleaning, customers.warnings, subs.warnings, overlaps):
         write_table(found, f"{output_path}/warnings", partition_by=("stage",), mode=mode)
@@ -278,7 +282,7 @@ def full_run(
 def open_run(spark: SparkSession, output_path: str) -> Run:
     """The published run below ``output_path``."""
     path = current_run(spark, output_path)
-    loaded = [spark.read.parquet(f"{path}/loaded/{name}") for name in ("customers", "subscriptions")]
+    loaded = spark.read.parquet(f"{path}/loaded/customers"), read_whole(spark, f"{path}/loaded/subscriptions")
     return Run(path, *loaded, spark.read.parquet(f"{path}/warnings"), spark.read.text(f"{path}/report.json"))
 
 

@@ -23,6 +23,7 @@ from tenure.errors import DataQualityError
 from tenure.functions import scalars as S
 from tenure.operators import dispositions as D
 from tenure.operators import findings as Q
+from tenure.operators.observed import nulls, staged_with
 from tenure.operators.once import computed_once, made
 from tenure.operators.ordered import first_per_key
 from tenure.operators.quantiles import exact_quantiles, value_counts
@@ -47,11 +48,14 @@ class Outcome:
         warnings: Callable[[], DataFrame],
         removed: DataFrame | None = None,
         stated: DataFrame | None = None,
+        counts: dict[str, int] | None = None,
     ):
         self.rows = rows
         self.removed = removed
         #: Subscriptions with the state of their customer, before any is left out.
         self.stated = stated
+        #: Hits of every row rule, nulls (``nulls_<column>``) and ``rows``, counted while ``stated`` was written.
+        self.counts = counts
         self._plan_warnings = warnings
 
     @cached_property
@@ -532,6 +536,9 @@ def repair_date_ranges(subs: DataFrame) -> DataFrame:
     return subs.withColumns({"end_date": F.when(~wrong, F.col("end_date")), "repaired": wrong})
 
 
+#: Columns whose nulls are counted.
+PROFILED = ("customer_id", "start_date", "end_date", "plan", "monthly_price")
+
 SILVER_COLUMNS = (
     "row_id",
     "customer_id",
@@ -573,9 +580,10 @@ def clean_subscriptions(
     null_end = range_policy == "null_end"
 
     stated = with_customer_state(standardise_subscriptions(bronze, settings), reference, excluded, stage)
-    if stage is not None:
-        stated = stage(stated, "stated_subscriptions")
     rules = subscription_rules(null_end, lenient=policy != STRICT, settings=settings, extra=extra)
+    counts = None
+    if stage is not None:
+        stated, counts = staged_with(stage, stated, "stated_subscriptions", [*Q.counters(rules), *nulls(PROFILED)])
     known = stated.where((F.col("customer_state") == "known") & ~S.is_blank("customer_id"))
     overlap_severity = _whole_table(settings, "overlap", Q.FATAL if overlap_policy == "strict" else Q.MONITOR)
     overlaps_fatal = overlap_severity == Q.FATAL
@@ -586,7 +594,10 @@ def clean_subscriptions(
 
     if policy == STRICT:
         fatal = [r for r in rules if r.severity == Q.FATAL]
-        hits = stated.agg(*Q.counters(fatal)).first().asDict() if fatal else {}
+        if counts is not None:
+            hits = {r.rule_id: counts[r.rule_id] for r in fatal}
+        else:
+            hits = stated.agg(*Q.counters(fatal)).first().asDict() if fatal else {}
         shown = [Q.findings(stated, STAGE_SUBSCRIPTIONS, fatal)]
         if overlaps_fatal:
             shown.append(_overlap_findings(known, overlap_severity, settings))
@@ -599,7 +610,7 @@ def clean_subscriptions(
     columns = [*SILVER_COLUMNS]
     if policy == FLAG:
         columns += ["start_date_raw", "monthly_price_raw"]
-    return Outcome(rows=rows.select(*columns), warnings=warnings, stated=stated)
+    return Outcome(rows=rows.select(*columns), warnings=warnings, stated=stated, counts=counts)
 
 
 __all__ = [

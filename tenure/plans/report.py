@@ -141,6 +141,11 @@ def report_lines(
     return union_all(parts)
 
 
+def rule_counts(counts: dict[str, int], spark: SparkSession) -> DataFrame:
+    """(name, n) rows of what was counted while a table was written."""
+    return spark.createDataFrame(sorted(counts.items()), "name string, n long")
+
+
 class Run(NamedTuple):
     """What a full run leaves behind; every frame reads a written table below ``path``."""
 
@@ -243,6 +248,7 @@ def full_run(
         raw_subs = spark.read.parquet(silver_subs)
         require_types(raw_subs, SILVER_SUBSCRIPTIONS, "subscriptions")
         write_table(quarantine(result.stated, settings, extra=extra_subs), f"{output_path}/quarantine", partition_by=("rule_id",))
+        write_table(rule_counts(result.counts, spark), f"{output_path}/counts")
         cleaning += [cleaned.warnings, result.warnings]
         if silver_format != "parquet":
             write_table(raw_customers, f"{silver_customers}_{silver_format}", silver_format)

@@ -27,8 +27,9 @@ from tenure.operators.staging import staged
 
 LENGTH = 100
 GRAM = 24
-#: Runs of one anchor above which its windows are counted one by one; runs merged in one task.
-HOT, MERGED = 1_000, 4_000
+#: Runs of one anchor above which its windows are counted one by one: what a task can still merge
+#: in some 200 MB. Runs merged at a time: few enough for 16-bit symbols.
+HOT, MERGED = 8_000, 500
 #: Windows looked at together; positions in such a piece fit in 21 bits.
 PIECE = 1 << 20
 #: A run is packed as first window << 24 | windows - 1.
@@ -143,21 +144,26 @@ def _runs(length: int):
     return run
 
 
+def _bodies(parts: list[tuple]) -> pd.DataFrame:
+    anchor, key, first, hot = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    return pd.DataFrame({"anchor": anchor, "key": key, "first": first, "hot": hot, "body": [b for p in parts for b in p[4]]})
+
+
 def _cut(length: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for key, text, found in zip(batch["key"], batch["text"], batch["found"], strict=True):
+            parts, held = [], 0
+            for key, text, anchors, spans, hot in zip(*(batch[c] for c in ("key", "text", "anchors", "spans", "hots")), strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
-                rows = [(r["anchor"], r["span"] >> _SHIFT, r["hot"], (r["span"] & ((1 << _SHIFT) - 1)) + length) for r in found]
-                yield pd.DataFrame(
-                    {
-                        "anchor": np.array([r[0] for r in rows], np.int64),
-                        "key": key,
-                        "first": np.array([r[1] for r in rows], np.int64),
-                        "hot": [r[2] for r in rows],
-                        "body": [raw[r[1] : r[1] + r[3]] for r in rows],
-                    }
-                )
+                first = spans >> _SHIFT
+                stop = first + (spans & ((1 << _SHIFT) - 1)) + length
+                parts.append((anchors, np.full(len(spans), key), first, hot, [raw[a:b] for a, b in zip(first.tolist(), stop.tolist())]))
+                held += int((stop - first).sum())
+                if held > PIECE * 8:
+                    yield _bodies(parts)
+                    parts, held = [], 0
+            if parts:
+                yield _bodies(parts)
 
     return run
 
@@ -266,7 +272,12 @@ def repeat_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         "repeat_marks",
     )
     known = marks.where("kinds = 0").select("key", F.when(F.col("span") < 0, F.bitwise_not("span")).otherwise(F.col("span")).alias("span"))
-    open_ = marks.where("kinds > 0").groupBy("key").agg(F.collect_list(F.struct("anchor", "span", (F.col("kinds") > HOT).alias("hot"))).alias("found"))
+    open_ = (
+        marks.where("kinds > 0")
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("anchor", "span", (F.col("kinds") > HOT).alias("hot"))).alias("found"))
+        .select("key", F.col("found.anchor").alias("anchors"), F.col("found.span").alias("spans"), F.col("found.hot").alias("hots"))
+    )
     bodies = staged(
         long_enough.join(open_, "key").mapInPandas(_cut(length), "anchor long, key long, first long, hot boolean, body binary"),
         "repeat_bodies",
@@ -274,7 +285,7 @@ def repeat_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     cold, hot = bodies.where("NOT hot"), bodies.where("hot")
     buckets = max(1, cold.count() // MERGED)
     merged = cold.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket")).applyInPandas(_merge(length), "key long, span long")
-    windows = hot.select("key", "first", "body").mapInPandas(_windows(length), "a long, b long, key long, at long")
+    windows = staged(hot.select("key", "first", "body").mapInPandas(_windows(length), "a long, b long, key long, at long"), "repeat_windows")
     firsts = windows.groupBy("a", "b").agg(F.min(F.struct("key", "at")).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     counted = (
         windows.join(firsts, ["a", "b"])

@@ -4,8 +4,11 @@ A document of source s is wanted target(s) / size(s) times. The whole part is co
 the fractions are rounded in pairs: mass (words) moves at random from one document of a pair to
 the other until one of them is at 0 or 1, so that the words of the source stay as they are and
 every document keeps its expected number of copies. A source is cut into buckets by a hash of
-the document; each bucket leaves at most one document with a fraction, and these residuals are
-rounded with each other up a tree of buckets. The last one of a source goes to the nearer end.
+the document. A pair leaves its larger document open more often than not, so a bucket ends with
+one that may be large; to give it something to settle with, the bucket also passes on a few open
+documents of every order of size. These residuals are rounded up a tree of buckets, and at its
+root each document, the largest first, is paired with all smaller ones together. What is left in
+the end is a fraction of the smallest, which goes to the nearer end.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ FAN = 1_000
 #: A table of sources up to this number of rows is broadcast, a larger one is joined by shuffle.
 BROADCAST_SOURCES = 50_000
 _EPS = 1e-9
+#: Open documents of each power of two in size that a bucket passes on.
+LADDER = 4
 
 
 def words(text: Column | str) -> Column:
@@ -90,9 +95,65 @@ def pivotal(size: np.ndarray, share: np.ndarray, draw: np.ndarray) -> np.ndarray
     return out
 
 
+def ladder(size: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Which rows a bucket passes on: the first LADDER open ones of each power of two in size."""
+    rung = np.where((share > _EPS) & (share < 1 - _EPS), np.frexp(size)[1], -1)
+    place = pd.Series(rung).groupby(rung).cumcount().to_numpy()
+    return (rung >= 0) & (place < LADDER)
+
+
+def settle(size: np.ndarray, share: np.ndarray, draw: np.ndarray) -> np.ndarray:
+    """Round all shares, each paired with all smaller ones together; rows in descending size.
+
+    The smaller ones give or take in proportion to what they have or lack, which is the same
+    affine change for all of them; so running sums are enough. The sum stays as it was, and every
+    row keeps its expectation, as long as the smaller ones can make up for the larger one.
+    """
+    out = share.astype(float).copy()
+    open_ = (out > _EPS) & (out < 1 - _EPS)
+    weight = np.where(open_, size, 0.0)
+    later = np.append(np.cumsum(weight[::-1])[::-1], 0.0)
+    mass = np.append(np.cumsum((weight * out)[::-1])[::-1], 0.0)
+    scale, shift = 1.0, 0.0
+    for j in np.flatnonzero(open_):
+        s = min(max(scale * share[j] + shift, 0.0), 1.0)
+        if not _EPS < s < 1 - _EPS:
+            out[j] = round(s)
+            continue
+        have = max(scale * mass[j + 1] + shift * later[j + 1], 0.0)
+        lack = max(later[j + 1] - have, 0.0)
+        up, down = (1 - s) * size[j], s * size[j]
+        if up <= have and down <= lack:
+            rises = draw[j] * (up + down) < down
+        else:
+            # The smaller ones cannot make up for one of both, or for neither: the nearer one then.
+            rises = up - have < down - lack
+        out[j] = float(rises)
+        if rises:
+            kept = 1 - min(1.0, up / have) if have > 0 else 1.0
+            scale, shift = scale * kept, shift * kept
+        else:
+            kept = 1 - min(1.0, down / lack) if lack > 0 else 1.0
+            scale, shift = scale * kept, 1 - (1 - shift) * kept
+    return out
+
+
+def _sorted(rows: pd.DataFrame) -> pd.DataFrame:
+    return rows.sort_values(["size", "draw", "doc_id"], ascending=[False, True, True], kind="stable", na_position="last")
+
+
 def _round_bucket(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values(["size", "draw", "doc_id"], ascending=[False, True, True], kind="stable", na_position="last")
-    return rows.assign(share=pivotal(rows["size"].to_numpy(float), rows["share"].to_numpy(), rows["draw"].to_numpy()))
+    rows = _sorted(rows)
+    size, share, draw = rows["size"].to_numpy(float), rows["share"].to_numpy(), rows["draw"].to_numpy()
+    own = ~ladder(size, share)
+    share = share.copy()
+    share[own] = pivotal(size[own], share[own], draw[own])
+    return rows.assign(share=share)
+
+
+def _settle_source(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = _sorted(rows)
+    return rows.assign(share=settle(rows["size"].to_numpy(float), rows["share"].to_numpy(), rows["draw"].to_numpy()))
 
 
 def _uniform(*parts: Column) -> Column:
@@ -117,7 +178,9 @@ def round_copies(rows: DataFrame, seed: int = 42) -> DataFrame:
         done.append(rounded.where(~open_).drop("bucket", "draw"))
         level, step = rounded.where(open_), step + 1
         if count <= 1:
-            done.append(level.withColumn("share", F.round("share")).drop("bucket", "draw"))
+            # One bucket per source is left, so these are at most LADDER rows for each power of two, and one.
+            last = level.withColumn("draw", _uniform(F.col("doc_id"), F.col("size"), F.lit(seed)))
+            done.append(last.groupBy("source").applyInPandas(_settle_source, last.schema).drop("bucket", "draw"))
             return reduce(DataFrame.unionByName, done)
         count = -(-count // FAN)
         level = level.withColumn("bucket", F.floor(F.col("bucket") / FAN)).withColumn(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tenure.llm import queries
+import numpy as np
+import pytest
+
+from tenure.llm import mixing, queries
 from tenure.llm.wrappers import extract, infer, rules
 
 SF = "/root/testdata/sf0.01"
@@ -52,3 +55,27 @@ def test_broken_pages_do_not_fail():
     for page in ("<", "<p", "</p></div>", "<!-- open", "<script>never closed", "<p>&#xZZ; &bogus; &amp", "<div " + "x" * 5000, "<b>" * 3000 + "t"):
         extract(page, None)
     assert extract("<ul>" * 500 + "deep", None) == "deep"
+
+
+def test_sources_come_near_their_targets(spark):
+    rows = mixing.mix_sources(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    sources = {}
+    for r in rows:
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        sources.setdefault((r["source"], r["target"]), []).append(r)
+    for (source, target), own in sources.items():
+        # A few open documents of each order of size settle what is left.
+        assert abs(sum(r["taken"] for r in own) - target) <= 0.01 * target, source
+
+
+def test_settling_keeps_the_sum_and_the_expectation():
+    rng = np.random.default_rng(5)
+    size = np.sort(rng.integers(1, 5000, 60))[::-1].astype(float)
+    share = rng.random(60)
+    total, mean = (size * share).sum(), np.zeros(60)
+    for _ in range(4000):
+        out = mixing.settle(size, share, rng.random(60))
+        # The smallest of all is 6, but the five smallest may not be able to make up for the sixth.
+        assert set(np.unique(out)) <= {0.0, 1.0} and abs((size * out).sum() - total) <= 60
+        mean += out
+    assert np.abs(mean / 4000 - share)[:12].max() < 0.1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,14 +31,25 @@ def interval_steps(cells: DataFrame, value: str) -> DataFrame:
     ).select("s.*")
 
 
-def running_months(steps: DataFrame, value: str) -> DataFrame:
-    """(month, value): the running total for every month from the first step to max(hi).
+def together(measures: dict[str, DataFrame]) -> DataFrame:
+    """Steps of several measures, name -> cells, as one table of steps with a column for each."""
+    types = {name: dict(cells.dtypes)[name] for name, cells in measures.items()}
+
+    def own(name: str, cells: DataFrame) -> DataFrame:
+        others = [F.lit(0).cast(t).alias(n) if n != name else F.col(name).cast(t).alias(name) for n, t in types.items()]
+        return interval_steps(cells, name).select("month", "hi", *others)
+
+    return reduce(DataFrame.unionByName, [own(name, cells) for name, cells in measures.items()])
+
+
+def running_months(steps: DataFrame, *values: str) -> DataFrame:
+    """(month, values...): the running totals for every month from the first step to max(hi).
 
     Steps are summed per month first, so the windows without a partition key see at most
     one row per calendar month. Months without a step are filled from the step before.
     """
     by_month = steps.where("month IS NOT NULL").groupBy("month").agg(
-        F.sum(value).alias("_change"), F.max("hi").alias("_hi")
+        *[F.sum(v).alias(f"_change_{v}") for v in values], F.max("hi").alias("_hi")
     )
     ordered = Window.orderBy("month")
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -45,10 +58,10 @@ def running_months(steps: DataFrame, value: str) -> DataFrame:
     return (
         by_month.select(
             "month",
-            F.sum("_change").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias(value),
+            *[F.sum(f"_change_{v}").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias(v) for v in values],
             F.lead("month").over(ordered).alias("_next"),
             F.max("_hi").over(whole).alias("_hi"),
         )
         .where(F.col("month") <= F.col("_hi"))
-        .select(F.explode(F.sequence(F.col("month"), until, one_month)).alias("month"), value)
+        .select(F.explode(F.sequence(F.col("month"), until, one_month)).alias("month"), *values)
     )

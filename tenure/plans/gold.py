@@ -12,8 +12,9 @@ from tenure.functions import scalars as S
 from tenure.operators.sequences import with_next
 from tenure.operators import findings as Q
 from tenure.operators.dispositions import dropping_rule
+from tenure.operators.months import running_months, together
 from tenure.plans.clean import subscription_rules
-from tenure.plans.metrics import active_customers, monthly_churn, monthly_mrr
+from tenure.plans.metrics import active_cells, churn_cells, churn_per_month, mrr_cells
 
 
 def subscription_enriched(
@@ -51,17 +52,29 @@ def subscription_enriched(
 
 def monthly_arpu(subs: DataFrame) -> DataFrame:
     """Recurring revenue per active customer and month; null in a month without customers."""
-    return (
-        monthly_mrr(subs)
-        .join(active_customers(subs), "month", "left")
-        .select("month", "mrr", "active_customers", F.round(F.try_divide("mrr", "active_customers"), 4).alias("arpu"))
+    return _by_month({"amount": mrr_cells(subs), "active_customers": active_cells(subs)})
+
+
+def _by_month(measures: dict[str, DataFrame]) -> DataFrame:
+    """Running totals of all measures side by side: one table of steps, no joins of months."""
+    mrr = S.money(F.col("amount"))
+    counts = [name for name in measures if name != "amount"]
+    return running_months(together(measures), *measures).select(
+        S.month_key("month").alias("month"),
+        mrr.alias("mrr"),
+        *counts,
+        F.round(F.try_divide(mrr, F.col("active_customers")), 4).alias("arpu"),
     )
 
 
 def monthly_aggregates(subs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """All monthly metrics side by side."""
-    return monthly_arpu(subs).join(monthly_churn(subs, settings), "month", "left").select(
-        "month", "mrr", "churned_count", "active_customers", "arpu"
+    return _by_month(
+        {
+            "amount": mrr_cells(subs),
+            "churned_count": churn_cells(churn_per_month(subs, settings)),
+            "active_customers": active_cells(subs),
+        }
     )
 
 

@@ -25,21 +25,24 @@ def month_range(subs: DataFrame) -> DataFrame:
     )
 
 
-def monthly_mrr(subs: DataFrame) -> DataFrame:
-    """Full monthly price of every subscription active in the month, quiet months as 0.
-
-    One scan: prices are summed per (first month, last month), which is at most months
-    squared rows, and these become month changes with a running total. No row is
-    multiplied by its months and no month is compared with every subscription.
-    """
-    cells = (
+def mrr_cells(subs: DataFrame) -> DataFrame:
+    """Prices summed per (first month, last month), which is at most months squared rows."""
+    return (
         subs.groupBy(
             month_start("start_date").alias("first_month"), month_start("end_date").alias("last_month")
         )
         .agg(F.sum("monthly_price").alias("amount"))
         .withColumn("hi", F.greatest("first_month", "last_month"))
     )
-    return running_months(interval_steps(cells, "amount"), "amount").select(
+
+
+def monthly_mrr(subs: DataFrame) -> DataFrame:
+    """Full monthly price of every subscription active in the month, quiet months as 0.
+
+    One scan: the cells become month changes with a running total. No row is multiplied by its
+    months and no month is compared with every subscription.
+    """
+    return running_months(interval_steps(mrr_cells(subs), "amount"), "amount").select(
         month_key("month").alias("month"), money(F.col("amount")).alias("mrr")
     ).orderBy("month")
 
@@ -89,10 +92,9 @@ def churn_per_month(subs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
     )
 
 
-def churn_over_months(per_month: DataFrame) -> DataFrame:
-    """(month, churned_count) for every month of the range."""
+def churn_cells(per_month: DataFrame) -> DataFrame:
     # Rows without an event only stretch the range.
-    cells = per_month.select(
+    return per_month.select(
         F.explode(
             F.array(
                 F.struct("first_month", "churned_count", "hi"),
@@ -100,6 +102,11 @@ def churn_over_months(per_month: DataFrame) -> DataFrame:
             )
         ).alias("c")
     ).select("c.*", F.col("c.first_month").alias("last_month"))
+
+
+def churn_over_months(per_month: DataFrame) -> DataFrame:
+    """(month, churned_count) for every month of the range."""
+    cells = churn_cells(per_month)
     return running_months(interval_steps(cells, "churned_count"), "churned_count").select(
         month_key("month").alias("month"), "churned_count"
     )
@@ -158,8 +165,8 @@ def retention_by_cohort(retained: DataFrame) -> DataFrame:
     )
 
 
-def active_customers(subs: DataFrame) -> DataFrame:
-    """(month, active_customers): distinct customers with an active subscription.
+def active_cells(subs: DataFrame) -> DataFrame:
+    """Month intervals in which customers are active, none of a customer overlapping another.
 
     Each customer's month intervals are merged first (one row per customer and start month,
     then a running maximum over at most one row per month), so a change of +1 / -1 counts a
@@ -187,7 +194,7 @@ def active_customers(subs: DataFrame) -> DataFrame:
     fresh = seen.isNull() | (reach > seen)
     # Months an earlier span already covers are not counted again.
     begins = F.when(fresh & (seen >= first), F.add_months(seen, 1)).otherwise(first)
-    cells = (
+    return (
         spans.withColumn("seen", F.max("reach").over(before))
         .groupBy(
             begins.alias("first_month"),
@@ -195,7 +202,11 @@ def active_customers(subs: DataFrame) -> DataFrame:
         )
         .agg(F.count_if(fresh).alias("active_customers"), F.max("hi").alias("hi"))
     )
-    return running_months(interval_steps(cells, "active_customers"), "active_customers").select(
+
+
+def active_customers(subs: DataFrame) -> DataFrame:
+    """(month, active_customers): distinct customers with an active subscription."""
+    return running_months(interval_steps(active_cells(subs), "active_customers"), "active_customers").select(
         month_key("month").alias("month"), "active_customers"
     )
 

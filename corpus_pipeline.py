@@ -14,6 +14,7 @@ from tenure.llm.common import documents, labels
 from tenure.operators.staging import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+TEXTS_PER_BATCH = 2_000
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -54,6 +55,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens and ids of every document; null and empty texts have no ids."""
+    # Whole texts come in Arrow batches of so many rows; Spark's 10,000 take hundreds of MB in a task.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_PER_BATCH)
     rows = pieces.encode(docs.select("doc_id", "source", "text"), PIECE_MODEL)
     return rows.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 

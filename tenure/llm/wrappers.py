@@ -4,7 +4,8 @@ A wrapper is a union-free regular expression over a page's tokens: elements in o
 optional, or repeated, with text slots. Every page of a host is aligned with it: what only one
 side has becomes optional, what comes again in the same shape closes a repeated group, and
 differing text becomes a slot. Tasks infer partial wrappers of what they read, which are aligned
-with each other in rounds. Slots then keep or lose their text by where most letters of the host's
+with each other in rounds. Elements of few pages are counted beside the wrapper, by host and
+place, and given to the pages that have them. Slots then keep or lose their text by where most letters of the host's
 pages stand, by links, and by how many pages have the same text there.
 """
 
@@ -18,7 +19,7 @@ from dataclasses import dataclass, field
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenure.operators.staging import staged
@@ -27,7 +28,7 @@ from tenure.operators.staging import staged
 LEAST_PAGES = 3
 #: and so large a share of the pages that have the place: of a single place, of a repeated one.
 MOSTLY, ALWAYS = 0.6, 0.9
-#: What stands on less than one page in so many leaves no trace in a wrapper.
+#: What stands on less than one page in so many is counted by its place, beside the wrapper.
 RARE = 256
 #: Partial wrappers of a host that one task of a round merges.
 FAN = 32
@@ -36,6 +37,7 @@ HOSTS_AT_ONCE = 256
 #: Rules up to this size are broadcast, more are joined by shuffle.
 BROADCAST_BYTES = 32 << 20
 SURVEY = ["host", "part", "wrapper", "place", "text", "page"]
+COUNTED = ["pages", "letters", "link_letters", "repeated"]
 #: What elements deeper than this hold is read as if it stood here, but for places named so that
 #: they are no article or a heading of one.
 DEEPEST = 64
@@ -92,6 +94,12 @@ class Node:
     shape: str = ""
 
 
+#: Keys of the elements that lead to one, the last first in pairs: None, or (path above, key).
+Path = tuple | None
+#: Pages, letters, letters in links of rare elements, and do they repeat, by place.
+Rest = dict[int, list[int]]
+
+
 @dataclass
 class Rules:
     """What is known of a host: its wrapper, and the share of pages with a text, by place and text."""
@@ -228,15 +236,57 @@ def folded(node: Node) -> Node:
     return out
 
 
-def joined(a: Node, b: Node) -> Node:
-    """The least general element that covers both."""
+def joined(a: Node, b: Node, path: Path = None, rest: Rest | None = None) -> Node:
+    """The least general element that covers both.
+
+    With ``rest``, rare elements inside are counted there and left out; ``path`` leads to the element.
+    """
     out = Node(a.key, a.name, a.names, [], a.text if a.text == b.text else None, a.pages + b.pages)
     out.optional, out.repeated, out.linked = a.optional or b.optional, a.repeated or b.repeated, a.linked and b.linked
     out.letters, out.link_letters = a.letters + b.letters, a.link_letters + b.link_letters
-    out.children = align(a.children, b.children, out.pages)
+    out.children = align(a.children, b.children, path, rest)
+    if rest is not None and any(c.pages * RARE < out.pages for c in out.children):
+        _set_apart(out, path, rest)
     return out
 
 
+def _set_apart(node: Node, path: Path, rest: Rest) -> None:
+    """Count rare children in ``rest``; their letters stay letters of the element."""
+    barred = any(_no_text(key.partition(".")[0]) for key in _keys(path))
+    for c in node.children:
+        if c.pages * RARE < node.pages:
+            letters, link_letters = _count_apart(c, path, barred, rest)
+            node.letters += letters
+            node.link_letters += link_letters
+    node.children = [c for c in node.children if c.pages * RARE >= node.pages]
+
+
+def _count_apart(node: Node, path: Path, barred: bool, rest: Rest) -> tuple[int, int]:
+    path = (path, node.key)
+    barred = barred or _no_text(node.name)
+    letters, link_letters = node.letters, node.link_letters
+    if barred:
+        letters, link_letters = 0, letters + link_letters
+    for c in node.children:
+        more = _count_apart(c, path, barred, rest)
+        letters, link_letters = letters + more[0], link_letters + more[1]
+    counts = rest.setdefault(_place(_keys(path)), [0, 0, 0, 0])
+    counts[:] = counts[0] + node.pages, counts[1] + letters, counts[2] + link_letters, counts[3] | node.repeated
+    return letters, link_letters
+
+
+def _no_text(name: str) -> bool:
+    return name in NOT_ARTICLE or name == "header"
+
+
+def _keys(path: Path) -> tuple[str, ...]:
+    out = []
+    while path is not None:
+        path, key = path
+        out.append(key)
+    return tuple(reversed(out))
+
+
 def likeness(a: Node, b: Node) -> float:
     """How well two elements match: not at all if names differ or nothing inside has the same name."""
     if a.key != b.key:
@@ -276,12 +326,8 @@ def matches(a: list[Node], b: list[Node]) -> list[tuple[int, int]]:
     return out
 
 
-def align(a: list[Node], b: list[Node], pages: int) -> list[Node]:
-    """Two sequences as one; what only one of them has becomes optional.
-
-    What stands on less than one page in RARE tells nothing and is left out: pages that have it
-    are judged there by themselves.
-    """
+def align(a: list[Node], b: list[Node], path: Path = None, rest: Rest | None = None) -> list[Node]:
+    """Two sequences as one; what only one of them has becomes optional."""
     out: list[Node] = []
     i = j = 0
     for x, y in [*matches(a, b), (len(a), len(b))]:
@@ -289,13 +335,13 @@ def align(a: list[Node], b: list[Node], pages: int) -> list[Node]:
             node.optional = True
             out.append(node)
         if x < len(a):
-            out.append(joined(a[x], b[y]))
+            out.append(joined(a[x], b[y], (path, a[x].key), rest))
         i, j = x + 1, y + 1
-    return [node for node in out if node.pages * RARE >= pages]
+    return out
 
 
 def infer(pages: list[str]) -> Node:
-    """The wrapper of some pages of one host; pages with the same text count once."""
+    """The wrapper of some pages of one host, with all their elements; pages with the same text count once."""
     wrapper, seen = None, set()
     for page in pages:
         tree = parse(page)
@@ -346,7 +392,9 @@ def rules(wrapper: Node, template: dict[tuple[int, int], float] | None = None) -
     counted = dict(template or {})
 
     def sum_up(node: Node, path: tuple[str, ...], barred: bool) -> None:
-        barred = barred or node.name in NOT_ARTICLE or node.name == "header"
+        barred = barred or _no_text(node.name)
+        if barred:
+            node.link_letters, node.letters = node.link_letters + node.letters, 0
         for c in node.children:
             if c.key == "#":
                 if template is None and c.text is not None and c.pages >= LEAST_PAGES and not c.optional:
@@ -397,10 +445,11 @@ def _twins(node: Node, twin: Node | None) -> dict[int, Node]:
     return found
 
 
-def extract(page: str | None, found: Rules | None = None) -> str:
+def extract(page: str | None, found: Rules | None = None, rest: Rest | None = None) -> str:
     """The article of one page.
 
-    The page is matched with its host's wrapper. From the root, the article is followed into the
+    The page is matched with its host's wrapper; elements that the wrapper does not have are known
+    by their place from ``rest``. From the root, the article is followed into the
     one container that holds most letters; headings beside it belong to it. Template text, lists
     of links and elements that HTML has for other ends are no part of it. Names of classes only
     break ties: a block named like a notice goes if it is small beside the page and either a
@@ -412,6 +461,14 @@ def extract(page: str | None, found: Rules | None = None) -> str:
     whole = max(tree.letters, 1)
     kept: list[tuple[str, bool]] = []
 
+    def twins_of(node: Node, twin: Node | None, path: tuple[str, ...]) -> dict[int, Node]:
+        twins = _twins(node, twin)
+        for i, c in enumerate(node.children if rest else ()):
+            counts = rest.get(_place((*path, c.key))) if i not in twins else None
+            if counts:
+                twins[i] = Node(c.key, c.name, c.names, pages=counts[0], letters=counts[1], link_letters=counts[2], repeated=bool(counts[3]))
+        return twins
+
     def named_away(node: Node, twin: Node | None) -> bool:
         if not node.names or node.name in ("article", "main", "body", "html") or not _BOILERPLATE.search(node.names):
             return False
@@ -430,7 +487,7 @@ def extract(page: str | None, found: Rules | None = None) -> str:
         return share >= (ALWAYS if twin is not None and twin.repeated else MOSTLY)
 
     def take(node: Node, twin: Node | None, path: tuple[str, ...], article: bool, header: bool) -> None:
-        twins = _twins(node, twin)
+        twins = twins_of(node, twin, path)
         for i, c in enumerate(node.children):
             own = twins.get(i)
             if c.key == "#":
@@ -454,7 +511,7 @@ def extract(page: str | None, found: Rules | None = None) -> str:
 
     def seek(node: Node, twin: Node | None, path: tuple[str, ...]) -> None:
         """Follow the page to its article."""
-        twins = _twins(node, twin)
+        twins = twins_of(node, twin, path)
         if targets:
             for i, c in enumerate(node.children):
                 if id(c) in targets:
@@ -483,17 +540,18 @@ def extract(page: str | None, found: Rules | None = None) -> str:
 
 
 def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of all pages: partial wrappers of the hosts met, and where each page has which text."""
+    """Of all pages: partial wrappers of the hosts met, rare elements, and where each page has which text."""
     wrappers: dict[str, Node] = {}
     part = 0
 
     def flushed() -> pd.DataFrame:
         rows = [(h, part, json.dumps(packed(w)), None, None, None) for h, w in wrappers.items()]
         wrappers.clear()
-        return pd.DataFrame(rows, columns=SURVEY)
+        return _typed(pd.DataFrame(rows, columns=SURVEY), [*SURVEY, *COUNTED])
 
     for batch in batches:
         seen: set[tuple[str, int]] = set()
+        rests: dict[str, Rest] = {}
         texts = []
         for host, page, at in zip(batch["host"], batch["html"], batch["part"], strict=True):
             part = int(at)
@@ -503,7 +561,7 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             seen.add((host, digest))
             one = folded(tree)
-            wrappers[host] = joined(wrappers[host], one) if host in wrappers else one
+            wrappers[host] = joined(wrappers[host], one, None, rests.setdefault(host, {})) if host in wrappers else one
             for place, text in {
                 (_place(path), _digest(slot.text))
                 for path, slot in _slots(tree)
@@ -512,60 +570,118 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 texts.append((host, part, None, place, text, digest))
             if len(wrappers) > HOSTS_AT_ONCE:
                 yield flushed()
-        frame = pd.DataFrame(texts, columns=SURVEY)
-        yield frame.astype({"place": "Int64", "text": "Int64", "page": "Int64"})
+        yield _typed(pd.DataFrame(texts, columns=SURVEY), [*SURVEY, *COUNTED])
+        for host, rest in rests.items():
+            if rest:
+                yield _typed(_apart(host, rest), [*SURVEY, *COUNTED])
     if wrappers:
         yield flushed()
 
 
+def _typed(frame: pd.DataFrame, columns: list[str]) -> pd.DataFrame:
+    """A frame with these columns; what it does not have is null."""
+    frame = frame.reindex(columns=columns).astype({c: object if c in ("host", "wrapper") else "Int64" for c in columns})
+    return frame.assign(**{c: frame[c].where(frame[c].notna(), None) for c in ("host", "wrapper")})
+
+
+def _apart(host: str, rest: Rest) -> pd.DataFrame:
+    return pd.DataFrame([(host, place, *map(int, counts)) for place, counts in rest.items()], columns=["host", "place", *COUNTED])
+
+
 def _merge(rows: pd.DataFrame) -> pd.DataFrame:
-    wrapper = None
+    wrapper, rest = None, {}
     for text in rows.sort_values(["part", "wrapper"])["wrapper"]:
         other = unpacked(json.loads(text))
-        wrapper = other if wrapper is None else joined(wrapper, other)
+        wrapper = other if wrapper is None else joined(wrapper, other, None, rest)
     first = rows.iloc[0]
-    return pd.DataFrame({"host": [first["host"]], "part": [int(first["part"]) // FAN], "wrapper": [json.dumps(packed(wrapper))]})
+    whole = pd.DataFrame({"host": [first["host"]], "part": [int(first["part"]) // FAN], "wrapper": [json.dumps(packed(wrapper))]})
+    columns = ["host", "part", "wrapper", "place", *COUNTED]
+    return pd.concat([_typed(frame, columns) for frame in (whole, _apart(first["host"], rest))])
+
+
+def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The places of all elements of pages."""
+
+    def walk(node: Node, path: tuple[str, ...]) -> Iterator[int]:
+        for c in node.children:
+            yield _place((*path, c.key))
+            yield from walk(c, (*path, c.key))
+
+    for batch in batches:
+        out = []
+        for host, page, name in zip(batch["host"], batch["html"], batch["page"], strict=True):
+            out += [(host, name, place) for place in set(walk(parse(page), ()))]
+        yield pd.DataFrame(out, columns=["host", "page", "place"])
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     known: dict[str, Rules] = {}
     for batch in batches:
         texts = []
-        for page, host, wrapper, template in zip(batch["html"], batch["host"], batch["wrapper"], batch["template"], strict=True):
+        for page, host, wrapper, template, apart in zip(*(batch[c] for c in ("html", "host", "wrapper", "template", "apart")), strict=True):
             if host not in known:
                 if len(known) > HOSTS_AT_ONCE:
                     known.clear()
                 node = unpacked(json.loads(wrapper)) if isinstance(wrapper, str) else Node("", "", pages=0)
                 counted = {(int(p), int(t)): float(s) for p, t, s in json.loads(template)} if isinstance(template, str) else {}
                 known[host] = rules(node, counted)
-            texts.append(extract(page if isinstance(page, str) else "", known[host]))
+            rest = {int(row[0]): [int(x) for x in row[1:]] for row in json.loads(apart)} if isinstance(apart, str) else None
+            texts.append(extract(page if isinstance(page, str) else "", known[host], rest))
         yield batch[["page_id", "url"]].assign(text=texts)
 
 
-def host_rules(rows: DataFrame) -> DataFrame:
-    """host, wrapper, template of all pages (host, html): wrappers merged in rounds, template texts counted.
+def host_rules(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, wrapper, template) and (host, place, counts) of all pages (host, html).
 
     A task joins the pages it reads into one partial wrapper a host; rounds merge at most FAN
-    parts of a host in a task, so a host of very many pages is no group of its own. A text is
-    template text of a place when enough different pages of the host that have the place have it there.
+    parts of a host in a task, so a host of very many pages is no group of its own. What a join
+    finds rare is counted by its place, summed over all tasks and rounds. A text is template text
+    of a place when enough different pages of the host that have the place have it there.
     """
-    schema = "host string, part int, wrapper string, place long, text long, page long"
+    counts = "place long, pages long, letters long, link_letters long, repeated long"
+    schema = "host string, part int, wrapper string, place long, text long, page long, pages long, letters long, link_letters long, repeated long"
     survey = staged(rows.select("host", "html", F.spark_partition_id().alias("part")).mapInPandas(_survey, schema), "survey")
     parts = survey.where("wrapper IS NOT NULL").select("host", "part", "wrapper")
     last = parts.agg(F.max("part")).first()[0] or 0
+    apart = survey.where("pages IS NOT NULL").select("host", "place", *COUNTED)
     while True:
         group = [F.col("host"), F.floor(F.col("part") / FAN).alias("round")]
-        parts = staged(parts.groupBy(*group).applyInPandas(_merge, "host string, part int, wrapper string"), "wrappers")
+        merged = staged(parts.groupBy(*group).applyInPandas(_merge, f"host string, part int, wrapper string, {counts}"), "wrappers")
+        parts = merged.where("wrapper IS NOT NULL").select("host", "part", "wrapper")
+        apart = apart.union(merged.where("pages IS NOT NULL").select("host", "place", *COUNTED))
         if last < FAN:
             break
         last //= FAN
-    seen = survey.where("wrapper IS NULL").select("host", "place", "text", "page").distinct()
+    sums = [F.sum(c).alias(c) for c in COUNTED[:3]] + [F.max("repeated").alias("repeated")]
+    apart = staged(apart.groupBy("host", "place").agg(*sums), "rare_places")
+    seen = survey.where("text IS NOT NULL").select("host", "place", "text", "page").distinct()
     often = seen.groupBy("host", "place", "text").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
-    pages = survey.where("wrapper IS NULL").select("host", "place", "page").distinct().groupBy("host", "place").agg(F.count(F.lit(1)).alias("of"))
+    pages = survey.where("text IS NOT NULL").select("host", "place", "page").distinct().groupBy("host", "place").agg(F.count(F.lit(1)).alias("of"))
     shares = often.join(pages, ["host", "place"]).where(F.col("n") >= MOSTLY * F.col("of"))
     one = F.array(F.col("place").cast("string"), F.col("text").cast("string"), (F.col("n") / F.col("of")).cast("string"))
     template = shares.groupBy("host").agg(F.to_json(F.collect_list(one)).alias("template"))
-    return staged(parts.select("host", "wrapper").join(template, "host", "left"), "host_rules")
+    return staged(parts.select("host", "wrapper").join(template, "host", "left"), "host_rules"), apart
+
+
+def _small(df: DataFrame, size: Column) -> DataFrame:
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else df
+
+
+def _with_rare(rows: DataFrame, apart: DataFrame) -> DataFrame:
+    """``rows`` with what is known of their rare elements as ``apart``; null where a page has none.
+
+    Only pages of hosts with rare elements are read for it, and only pages that have some get a row.
+    """
+    if apart.isEmpty():
+        return rows.withColumn("apart", F.lit(None).cast("string"))
+    named = rows.withColumn("page", F.sha2(F.col("html"), 256))
+    hosts = staged(apart.select("host").distinct(), "rare_hosts")
+    wanted = named.where("html IS NOT NULL").select("host", "html", "page").join(_small(hosts, F.length("host") + 16), "host", "left_semi")
+    places = wanted.mapInPandas(_places, "host string, page string, place long")
+    found = places.join(_small(apart, F.length("host") + 48), ["host", "place"]).distinct()
+    one = F.array(*[F.col(c).cast("string") for c in ("place", *COUNTED)])
+    given = staged(found.groupBy("host", "page").agg(F.to_json(F.collect_list(one)).alias("apart")), "rare_given")
+    return named.join(_small(given, F.length("apart") + F.length("host") + 80), ["host", "page"], "left")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -577,10 +693,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[^/?#]*//([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html", host.alias("host"))
-    found = host_rules(rows)
-    size = found.agg(F.sum(F.length("wrapper") + F.coalesce(F.length("template"), F.lit(0)))).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        found = F.broadcast(found)
-    judged = rows.join(found, "host", "left").select("page_id", "url", "html", "host", "wrapper", "template")
+    found, apart = host_rules(rows)
+    found = _small(found, F.length("wrapper") + F.coalesce(F.length("template"), F.lit(0)))
+    judged = _with_rare(rows, apart).join(found, "host", "left").select("page_id", "url", "html", "host", "wrapper", "template", "apart")
     texts = judged.mapInPandas(_extract, "page_id string, url string, text string")
     return texts.select(F.col("page_id").cast("long").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))

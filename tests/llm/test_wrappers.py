@@ -122,3 +122,40 @@ def test_near_copies_of_one_article_are_no_template(spark):
 def test_wrappers_survive_being_written():
     wrapper = infer([plain(i) for i in range(5)] + [bare(1)])
     assert packed(unpacked(json.loads(json.dumps(packed(wrapper))))) == packed(wrapper)
+
+
+def seldom(i):
+    """A layout of few pages: on most the first block is the article, on the last the second one holds more."""
+    long, short = prose(f"s{i}", 60), prose(f"t{i}", 3)
+    if i == 6:
+        long, short = short, prose("aside", 30)
+    return f"<body><section class=qa><div class=qb><p>{long}</p><p>{prose(f'u{i}', 4)}</p></div><div class=qc><p>{short}</p></div></section></body>"
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_elements_of_few_pages_of_a_large_host_are_not_lost(spark, parts):
+    many = 2000
+    pages = [plain(i) for i in range(many)]
+    for i in range(7):
+        pages[many - 1 - i * 150] = seldom(i)
+    at = many - 1 - 6 * 150
+    whole = rules(infer(pages), {})
+    expected = extract(seldom(6), whole)
+    assert expected == f"{prose('t6', 3)} {prose('u6', 4)}" and prose("aside", 30) in extract(seldom(6), None)
+    df = spark.createDataFrame([(k, f"http://big.test/{k}", p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+    out = {r["page_id"]: r["text"] for r in wrappers.main_text(df.repartitionByRange(parts, "page_id")).collect()}
+    assert out[at] == expected
+    assert all(out[k] == plain_text(k) for k in range(0, many, 40) if pages[k] == plain(k))
+
+
+def test_what_is_set_apart_and_the_wrapper_hold_all_letters():
+    pages = [plain(i) for i in range(600)] + [seldom(i) for i in range(2)]
+    wrapper, rest = None, {}
+    for page in pages:
+        tree = wrappers.folded(wrappers.parse(page))
+        wrapper = tree if wrapper is None else wrappers.joined(wrapper, tree, None, rest)
+    whole, own = infer(pages), rules(wrapper, {}).wrapper
+    total = rules(whole, {}).wrapper
+    assert (own.letters, own.link_letters) == (total.letters, total.link_letters)
+    section = next(c for body in total.children for c in body.children if c.key == "section.qa")
+    assert rest[wrappers._place(("body", "section.qa"))] == [2, section.letters, section.link_letters, False]

@@ -14,8 +14,9 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pandas as pd
 import xxhash
@@ -448,8 +449,8 @@ def _twins(node: Node, twin: Node | None) -> dict[int, Node]:
 def extract(page: str | None, found: Rules | None = None, rest: Rest | None = None) -> str:
     """The article of one page.
 
-    The page is matched with its host's wrapper; elements that the wrapper does not have are known
-    by their place from ``rest``. From the root, the article is followed into the
+    The page is matched with its host's wrapper; what joins set apart is known by its place from
+    ``rest`` and added to an element of the wrapper if only one can be meant. From the root, the article is followed into the
     one container that holds most letters; headings beside it belong to it. Template text, lists
     of links and elements that HTML has for other ends are no part of it. Names of classes only
     break ties: a block named like a notice goes if it is small beside the page and either a
@@ -463,10 +464,27 @@ def extract(page: str | None, found: Rules | None = None, rest: Rest | None = No
 
     def twins_of(node: Node, twin: Node | None, path: tuple[str, ...]) -> dict[int, Node]:
         twins = _twins(node, twin)
-        for i, c in enumerate(node.children if rest else ()):
-            counts = rest.get(_place((*path, c.key))) if i not in twins else None
-            if counts:
-                twins[i] = Node(c.key, c.name, c.names, pages=counts[0], letters=counts[1], link_letters=counts[2], repeated=bool(counts[3]))
+        if not rest:
+            return twins
+        alike = Counter(c.key for c in twin.children) if twin else {}
+        for i, c in enumerate(node.children):
+            at = (*path, c.key)
+            counts = rest.get(_place(at))
+            # As in a wrapper, elements with nothing in common inside are not the same.
+            if not counts or (c.children and not any(_place((*at, inner.key)) in rest for inner in c.children)):
+                continue
+            own = twins.get(i)
+            if own is None:
+                own = Node(c.key, c.name, c.names, pages=0)
+            elif alike[c.key] > 1:
+                continue
+            twins[i] = replace(
+                own,
+                pages=own.pages + counts[0],
+                letters=own.letters + counts[1],
+                link_letters=own.link_letters + counts[2],
+                repeated=own.repeated or bool(counts[3]),
+            )
         return twins
 
     def named_away(node: Node, twin: Node | None) -> bool:

@@ -159,3 +159,23 @@ def test_what_is_set_apart_and_the_wrapper_hold_all_letters():
     assert (own.letters, own.link_letters) == (total.letters, total.link_letters)
     section = next(c for body in total.children for c in body.children if c.key == "section.qa")
     assert rest[wrappers._place(("body", "section.qa"))] == [2, section.letters, section.link_letters, False]
+
+
+def test_what_one_part_keeps_and_another_sets_apart_is_one_sum():
+    def late(i, first, second):
+        return f"<body><section class=qa><div class=qb><p>{prose(f'v{i}', first)}</p></div><div class=qc><p>{prose(f'w{i}', second)}</p></div></section></body>"
+
+    parts = [[late(i, 3, 30) for i in range(100)], [plain(i) for i in range(300)] + [late(i, 120, 1) for i in range(100, 200)]]
+    made, rest = [], {}
+    for pages in parts:
+        wrapper = None
+        for page in pages:
+            tree = wrappers.folded(wrappers.parse(page))
+            wrapper = tree if wrapper is None else wrappers.joined(wrapper, tree, None, rest)
+        made.append(wrapper)
+    found = rules(wrappers.joined(*made, None, rest), {})
+    whole = rules(infer(parts[0] + parts[1]), {})
+    assert extract(parts[0][5], whole) == prose("v5", 3)
+    assert extract(parts[0][5], found, rest) == prose("v5", 3)
+    assert extract(parts[0][5], found) == prose("w5", 30)
+    assert [extract(p, found, rest) for p in parts[1][::20]] == [extract(p, whole) for p in parts[1][::20]]
